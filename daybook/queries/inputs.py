@@ -30,7 +30,7 @@ def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             "device_type"
         ),
         F.expr("CASE WHEN event_id % 89 <> 0 THEN string(user_id) END").alias("user_id"),
-        F.expr("int(date_format(ts, 'yyyyMMdd'))").alias("partition_date"),
+        F.expr("year(ts) * 10000 + month(ts) * 100 + day(ts)").alias("partition_date"),
     )
 
 

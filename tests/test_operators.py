@@ -1,0 +1,298 @@
+"""Operators one by one, against plain Python over small frames."""
+
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from daybook.functions import earliest, fill_zero, with_defaults
+from daybook.operators import (
+    SchemaMismatch,
+    attach_rollup,
+    conform,
+    daily_activity,
+    enrich_left,
+    event_rollup,
+    keep_latest,
+    most_common_values,
+    purchase_rollup,
+    rank_latest,
+    ranking,
+)
+from frames import at, events, profiles, purchases
+
+
+def keyed_rows(seed, count=400):
+    """(id, k1, k2, t): one key holds over a third of the rows, many of them ties."""
+    pick = random.Random(seed).choice
+    rows = []
+    for i in range(count):
+        k1, k2 = ("hot", None) if i % 5 < 2 else (pick("abc"), pick(["x", "y", None]))
+        rows.append((i, k1, k2, pick([None, *range(20)])))
+    return rows
+
+
+def expected_ranks(rows):
+    groups = defaultdict(list)
+    for row in rows:
+        groups[row[1:3]].append(row)
+    ranks = {}
+    for group in groups.values():
+        group.sort(key=lambda r: (r[3] is None, -(r[3] or 0), r[0]))
+        ranks.update({row[0]: rank for rank, row in enumerate(group, 1)})
+    return ranks
+
+
+@pytest.mark.parametrize("hot_key_rows", [10_000, 50, 5, 1])
+def test_ranks_do_not_depend_on_splitting_hot_keys(spark, hot_key_rows):
+    rows = keyed_rows(hot_key_rows)
+    df = spark.createDataFrame(rows, "id int, k1 string, k2 string, t int")
+    ranked = rank_latest(df, ["k1", "k2"], "t", ["id"], hot_key_rows=hot_key_rows)
+    assert ranked.columns == [*df.columns, "row_number"]
+    assert ranked.schema["row_number"].dataType == T.LongType()
+    assert {r.id: r.row_number for r in ranked.collect()} == expected_ranks(rows)
+
+
+def test_keys_past_the_split_limit_are_ranked_too(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "MAX_HOT_KEYS", 2)
+    rows = keyed_rows(7)
+    df = spark.createDataFrame(rows, "id int, k1 string, k2 string, t int")
+    ranked = rank_latest(df, ["k1", "k2"], "t", ["id"], hot_key_rows=5)
+    assert {r.id: r.row_number for r in ranked.collect()} == expected_ranks(rows)
+
+
+def test_exact_copies_are_spread_and_numbered(spark):
+    df = spark.range(1000).select(F.lit("k").alias("k"), F.lit(1).alias("t"))
+    ranked = rank_latest(df, ["k"], "t", hot_key_rows=100)
+    assert sorted(r.row_number for r in ranked.collect()) == list(range(1, 1001))
+
+
+def test_keep_latest_equals_rank_one(spark):
+    rows = keyed_rows(3)
+    df = spark.createDataFrame(rows, "id int, k1 string, k2 string, t int")
+    kept = keep_latest(df, ["k1", "k2"], "t", ["id"])
+    assert kept.columns == df.columns
+    first = {i for i, rank in expected_ranks(rows).items() if rank == 1}
+    assert {r.id for r in kept.collect()} == first
+
+
+def test_other_tables_and_names(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    newest = keep_latest(orders, ["o_custkey"], "o_orderdate", ["o_orderkey"])
+    assert newest.count() == orders.select("o_custkey").distinct().count()
+    ranked = rank_latest(
+        orders, ["o_custkey"], "o_orderdate", ["o_orderkey"], rank_column="recency", hot_key_rows=10
+    )
+    assert ranked.where("recency = 1").drop("recency").exceptAll(newest).isEmpty()
+    assert ranked.count() == orders.count()
+
+
+# conform
+
+
+def source_frame(spark):
+    return spark.createDataFrame(
+        [(1, 2, "x", True)], "small int, Big bigint, text string, flag boolean"
+    )
+
+
+def field(name, data_type):
+    return T.StructType([T.StructField(name, data_type)])
+
+
+def test_conform_projects_widens_and_orders_by_name(spark):
+    schema = T.StructType(
+        [
+            T.StructField("big", T.DoubleType()),
+            T.StructField("small", T.LongType()),
+            T.StructField("flag", T.StringType()),
+        ]
+    )
+    out = conform(source_frame(spark), schema)
+    assert [(f.name, f.dataType) for f in out.schema] == [(f.name, f.dataType) for f in schema]
+    assert out.first() == (2.0, 1, "true")
+
+
+@pytest.mark.parametrize(
+    "schema, reason",
+    [
+        (field("absent", T.StringType()), "missing"),
+        (field("big", T.IntegerType()), "does not widen"),
+        (field("text", T.LongType()), "does not widen"),
+        (field("text", T.TimestampType()), "does not widen"),
+        (field("flag", T.IntegerType()), "does not widen"),
+    ],
+)
+def test_conform_refuses(spark, schema, reason):
+    with pytest.raises(SchemaMismatch, match=reason):
+        conform(source_frame(spark), schema)
+
+
+def test_conform_names_all_problems_and_ambiguity(spark):
+    doubled = source_frame(spark).select("small", F.col("text").alias("Small"))
+    both = T.StructType([*field("small", T.LongType()), *field("gone", T.LongType())])
+    with pytest.raises(SchemaMismatch, match="small: ambiguous; gone: missing"):
+        conform(doubled, both)
+
+
+def test_conform_follows_the_case_rule(spark):
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        with pytest.raises(SchemaMismatch, match="big: missing"):
+            conform(source_frame(spark), field("big", T.LongType()))
+        assert conform(source_frame(spark), field("Big", T.LongType())).first() == (2,)
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+
+
+def test_conform_leaves_either_timestamp_kind(spark):
+    df = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-01 00:00:00' AS t, DATE '2024-01-01' AS d")
+    assert conform(df, field("t", T.TimestampType())).schema["t"].dataType == T.TimestampNTZType()
+    assert conform(df, field("d", T.TimestampType())).schema["d"].dataType == T.TimestampType()
+
+
+def test_conform_takes_awkward_names(spark):
+    df = spark.createDataFrame([(1, 2)], "`a.b` int, `c``d` int")
+    schema = T.StructType([*field("c`d", T.LongType()), *field("a.b", T.LongType())])
+    assert conform(df, schema).first() == (2, 1)
+
+
+# missing values, enrichment
+
+
+def test_defaults_and_zero_fill(spark):
+    df = spark.createDataFrame(
+        [("a", None, None), (None, 2, float("nan"))], "name string, n bigint, x double"
+    )
+    filled = with_defaults(df, {"name": "unknown", "n": 7})
+    assert [tuple(r)[:2] for r in filled.collect()] == [("a", 7), ("unknown", 2)]
+    zeroed = fill_zero(df, "n", "x")
+    assert [tuple(r) for r in zeroed.collect()] == [("a", 0, 0.0), (None, 2, 0.0)]
+    assert zeroed.dtypes == df.dtypes
+
+
+def test_enrich_left_without_a_filter(spark):
+    facts = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    lookup = spark.createDataFrame([(1, "one", True), (None, "none", True)], "k int, v string, used boolean")
+    rows = {r.k: r.v for r in enrich_left(facts, lookup, "k", {"v": "?"}).collect()}
+    assert rows == {1: "one", 2: "?", None: "?"}
+    rows = {r.k: r.v for r in enrich_left(facts, lookup, "k", {"v": "?"}, "NOT used").collect()}
+    assert rows == {1: "?", 2: "?", None: "?"}
+
+
+def test_attach_rollup_repeats_and_fills(spark):
+    base = spark.createDataFrame([("u", 1), ("u", 2), ("v", 1)], "k string, day int")
+    totals = spark.createDataFrame([("u", 5, 2.5), ("w", 1, 1.0)], "k string, n bigint, x double")
+    rows = sorted(map(tuple, attach_rollup(base, totals, "k").collect()))
+    assert rows == [("u", 1, 5, 2.5), ("u", 2, 5, 2.5), ("v", 1, 0, 0.0)]
+
+
+# rollups
+
+
+def test_event_rollup_by_hand(spark):
+    pick = random.Random(5).choice
+    given = [
+        {
+            "event_id": str(i),
+            "event_timestamp": pick([None, at(1), at(2), at(3)]),
+            "session_id": pick(["s1", "s2", None]),
+            "device_type": pick(["mobile", "desktop", "tablet", None]) if i % 7 else None,
+            "event_type": pick(["view", "click"]),
+            "user_id": pick(["a", "b", "c"]),
+        }
+        if pick([True, True, False])
+        else {"event_id": str(i), "user_id": "only-nulls", "session_id": None,
+              "device_type": None, "event_type": None, "event_timestamp": None}
+        for i in range(90)
+    ]
+    rows = {r.user_id: r for r in event_rollup(events(spark, *given)).collect()}
+    groups = defaultdict(list)
+    for row in given:
+        groups[row["user_id"]].append(row)
+    assert rows.keys() == groups.keys()
+
+    def mode(values):
+        counts = Counter(v for v in values if v is not None)
+        return min(counts, key=lambda v: (-counts[v], v)) if counts else None
+
+    for user, group in groups.items():
+        row = rows[user]
+        assert row.total_events == len(group)
+        assert row.unique_sessions == len({g["session_id"] for g in group} - {None})
+        assert row.most_common_device == mode(g["device_type"] for g in group)
+        assert row.most_common_event_type == mode(g["event_type"] for g in group)
+        times = [g["event_timestamp"].replace(tzinfo=None) for g in group if g["event_timestamp"]]
+        assert row.first_event_timestamp == (min(times) if times else None)
+        assert row.last_event_timestamp == (max(times) if times else None)
+
+
+def test_most_common_agrees_with_the_built_in_mode(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    ours = most_common_values(df, ["user_id"], ["event_type"])
+    built_in = df.groupBy("user_id").agg(
+        F.mode("event_type", deterministic=True).alias("most_common_event_type")
+    )
+    assert ours.exceptAll(built_in).isEmpty() and built_in.exceptAll(ours).isEmpty()
+
+
+def test_earliest_keeps_a_null_value(spark):
+    source = events(
+        spark,
+        {"event_id": "2", "device_type": None, "event_timestamp": at(1)},
+        {"event_id": "3", "event_timestamp": at(1)},
+        {"event_id": "1", "event_timestamp": at(2)},
+    )
+    first = source.groupBy("user_id").agg(
+        earliest("device_type", "event_timestamp", ["event_id"]).alias("device")
+    )
+    assert first.first().device is None
+
+
+def test_purchase_rollup_exact_and_plain(spark):
+    source = purchases(
+        spark,
+        *({"purchase_amount": 0.1} for _ in range(10)),
+        {"purchase_amount": None, "user_id": "user2"},
+        {"purchase_amount": 1.0, "user_id": None},
+    )
+    plain = {r.user_id: r for r in purchase_rollup(source).collect()}
+    assert plain["user1"].total_purchase_amount == pytest.approx(1.0)
+    exact = {r.user_id: tuple(r)[1:] for r in purchase_rollup(source, T.DecimalType(18, 2)).collect()}
+    assert exact == {"user1": (10, 1.0, 0.1), "user2": (1, None, None), None: (1, 1.0, 1.0)}
+
+
+def test_daily_activity_equals_joining_first(spark):
+    source = events(
+        spark,
+        {"event_id": "1", "session_id": "a"},
+        {"event_id": "2", "session_id": "a"},
+        {"event_id": "3", "session_id": None},
+        {"event_id": "4", "user_id": "user2"},
+        {"event_id": "5", "user_id": "stranger"},
+        {"event_id": "6", "partition_date": 20231231},
+        {"event_id": "7", "user_id": None},
+    )
+    users = profiles(spark, {}, {"username": "again"}, {"user_id": "user2"}, {"user_id": None})
+    joined_first = (
+        source.join(users.select("user_id"), "user_id")
+        .where("partition_date >= 20240101")
+        .groupBy("user_id", "partition_date")
+        .agg(
+            F.count("*").alias("event_count"),
+            F.countDistinct("session_id").alias("session_count"),
+        )
+    )
+    rows = sorted(map(tuple, daily_activity(source, users, 20240101).collect()))
+    assert rows == sorted(map(tuple, joined_first.collect()))
+    assert rows == [("user1", 20240101, 6, 1), ("user2", 20240101, 1, 1)]
+
+
+def test_cached_frames_can_be_reused(spark):
+    source = events(spark, {"event_id": "1"}, {"event_id": "2", "event_type": "view"}).cache()
+    try:
+        assert keep_latest(source, ["user_id"], "event_timestamp", ["event_id"]).count() == 1
+        assert event_rollup(source).first().total_events == 2
+    finally:
+        source.unpersist()
