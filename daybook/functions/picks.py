@@ -19,5 +19,5 @@ def most_frequent(value: Column, occurrences: Column) -> Column:
 
     For input already counted to one row per distinct value.
     """
-    rank = F.struct((-occurrences).alias("fewest_first"), value.alias("value"))
-    return F.min_by(value, F.when(value.isNotNull(), rank))
+    place = F.struct((-occurrences).alias("most_first"), value.alias("value"))
+    return F.min(F.when(value.isNotNull(), place))["value"]
