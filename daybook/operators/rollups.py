@@ -69,17 +69,25 @@ def event_rollup(
     )
 
 
-def purchase_rollup(purchases: DataFrame, amount_type: DataType | None = None) -> DataFrame:
+def purchase_rollup(
+    purchases: DataFrame, amount_type: DataType | None = None, after_join: bool = False
+) -> DataFrame:
     """Per user: purchases, total and average amount.
 
     Amounts add up as they are stored. An exact amount_type (a decimal) makes
     the totals independent of the order in which doubles happen to be added.
+
+    after_join is for purchases that were just joined on user_id. groupBy would
+    then add no shuffle, and Spark could not split the join of a hot user; a
+    single grouping set gives the same rows but always shuffles partial sums.
     """
+    user = F.col("user_id")
+    grouped = purchases.groupingSets([[user]], user) if after_join else purchases.groupBy(user)
     amount = F.col("purchase_amount")
     if amount_type is not None:
         amount = amount.cast(amount_type)
     total = F.sum(amount).cast("double")
-    return purchases.groupBy("user_id").agg(
+    return grouped.agg(
         F.count("*").alias("total_purchases"),
         total.alias("total_purchase_amount"),
         F.try_divide(total, F.count(amount)).alias("avg_purchase_amount"),

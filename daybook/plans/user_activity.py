@@ -101,7 +101,7 @@ def aggregate_user_activity(
     keys = ["user_id", *PROFILE_DEFAULTS, "partition_date"]
     summary = attach_rollup(
         event_rollup(enriched_events, keys),
-        purchase_rollup(enriched_purchases, amount_type),
+        purchase_rollup(enriched_purchases, amount_type, after_join=True),
         "user_id",
     )
     return summary.select(*USER_ACTIVITY_SUMMARY.names)
