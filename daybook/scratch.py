@@ -1,5 +1,6 @@
 """The folder, shared by driver and executors, for checkpoints and scratch tables."""
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -17,7 +18,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             context.setCheckpointDir(named)
         return named
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="daybook-"))
     return context.getCheckpointDir()
