@@ -1,5 +1,7 @@
 """Every registered query against its SQL, row by row, over whole tables."""
 
+import os
+
 import duckdb
 import pytest
 from pyspark.sql import types as T
@@ -7,7 +9,7 @@ from pyspark.sql import types as T
 from __spark_entry__ import entry, oracle_sql, queries
 from daybook.schemas import USER_ACTIVITY_SUMMARY
 
-SF_DIR = "/root/testdata/sf0.01"
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 TABLES = ["region", "nation", "customer", "orders", "lineitem", "events"]
 
 # Spark type -> the SQL engine's name for it.
@@ -61,7 +63,7 @@ def test_entry(spark):
 
 
 def test_summary_counts_known_for_these_tables(spark):
-    rows = queries()["user_activity_summary"](spark, SF_DIR).collect()
+    rows = queries()["user_activity_summary"](spark, "/root/testdata/sf0.01").collect()
     assert len(rows) == 1777
     assert len({row.user_id for row in rows}) == 150
     assert sum(row.total_purchases == 0 for row in rows) == 40
