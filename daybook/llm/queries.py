@@ -1,17 +1,26 @@
 """One query per operator, over whole tables, and the same in SQL where SQL can say it."""
 
+import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pandas as pd
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from daybook.llm import pii
+from daybook.llm.bpe import encode_and_decode
 from daybook.llm.common import scratch_path
 from daybook.llm.decontamination import find_contamination
 from daybook.llm.exact_dedup import exact_groups
 from daybook.llm.sharding import byte_shards
+from daybook.llm.simhash import near_duplicates
 from daybook.llm.url_filter import judge_urls
 from daybook.llm.warc import warc_roundtrip
 from daybook.queries.inputs import table
 
+# Vocabularies are installed beside the library, never copied into it.
+VOCABULARY = "word_bpe_49k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -20,11 +29,49 @@ def _query(function):
     return function
 
 
+@_query
+def op1_pii(spark, sf_dir):
+    plain = pii.listed(F.filter("spans", lambda span: span["plain"]))
+    return pii.find_pii(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        *(pii.count_of(kind).alias(f"n_{kind}") for kind in pii.KINDS),
+        F.sha2(plain, 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
 @_query
 def op3_exact_dedup(spark, sf_dir):
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op5_simhash(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@F.pandas_udf("string")
+def _ids_sha256(lists: pd.Series) -> pd.Series:
+    """Digest of ids as little-endian unsigned 32-bit integers."""
+    return pd.Series([hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest() for ids in lists])
+
+
+def token_digests() -> list[Column]:
+    return [
+        F.size("ids").cast("long").alias("n_tokens"),
+        _ids_sha256("ids").alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    ]
+
+
+@_query
+def op6_bpe(spark, sf_dir):
+    encoded = encode_and_decode(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY)
+    )
+    return encoded.select("doc_id", *token_digests())
+
+
 @_query
 def op7_decontaminate(spark, sf_dir):
     found = find_contamination(
