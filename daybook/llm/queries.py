@@ -12,6 +12,8 @@ from daybook.llm.bpe import encode_and_decode
 from daybook.llm.common import scratch_path
 from daybook.llm.decontamination import find_contamination
 from daybook.llm.exact_dedup import exact_groups
+from daybook.llm.html_extract import extract_pages
+from daybook.llm.quality import classify
 from daybook.llm.sharding import byte_shards
 from daybook.llm.simhash import near_duplicates
 from daybook.llm.url_filter import judge_urls
@@ -40,11 +42,21 @@ def op1_pii(spark, sf_dir):
     )
 
 
+@_query
+def op2_html(spark, sf_dir):
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 @_query
 def op3_exact_dedup(spark, sf_dir):
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op4_quality(spark, sf_dir):
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @_query
 def op5_simhash(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))

@@ -33,6 +33,7 @@ PATTERNS = (
     "||cheap-pills.",
     "||spam-farm.",
     "||casino.",
+    "||casino-win.",
     "||adserver.",
     "||doubleclick.",
     "/banner-ads/",
