@@ -43,15 +43,19 @@ class MergeAutomaton:
         self.first, self.last = [0] * size, [0] * size
         self.taken: dict[tuple[int, int], int] = {}
         self.ends = [False] * size
+        used: set[int] = set()
         for label, token in vocab.items():
             self.ends[token] = label.endswith(suffix)
         for rank, (left, right) in enumerate(merges):
+            used.update((vocab[left], vocab[right]))
+            if vocab[left + right] in used:
+                raise ValueError("merges must build a token before they use it")
             self._add_gadget(vocab[left], vocab[right], vocab[left + right], rank)
         self.table: dict[int, dict[int, bool]] = {}
 
     def _add_gadget(self, u: int, v: int, uv: int, rank: int) -> None:
-        if self.rank[uv] >= 0 or max(self.rank[u], self.rank[v]) >= rank:
-            raise ValueError("merges must build each token once, from earlier ones")
+        if self.rank[uv] >= 0:
+            raise ValueError("merges must build each token once")
         self.rank[uv], self.first[uv], self.last[uv] = rank, u, v
         self.taken[u, v] = rank
 

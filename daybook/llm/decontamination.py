@@ -16,7 +16,7 @@ Other columns are ignored.
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from daybook.llm.common import column, lower_ascii, stored, text_of
+from daybook.llm.common import column, lower_ascii, packed, stored, text_of, unpacked
 
 WINDOW = 10
 # How many of a window's rarest terms are intersected before whole documents' lists are.
@@ -254,5 +254,10 @@ def drop_contaminated(
     """The rows of docs that hold no window of the benchmark, with all columns."""
     index = PositionalIndex(docs, benchmark, doc_id, text, "item_id", "text", WINDOW)
     found = stored(find_phrases(index).select(*_DOC).distinct())
-    same = column(doc_id).eqNullSafe(found.doc) & (F.xxhash64(text_of(text)) == found.content)
-    return docs.join(found, same, "left_anti")
+    rows = docs.select(
+        packed(docs.columns).alias("row"),
+        column(doc_id).alias("doc"),
+        F.xxhash64(text_of(text)).alias("content"),
+    )
+    clean = rows.alias("r").join(found.alias("f"), _same_doc("r", "f"), "left_anti")
+    return clean.select(*unpacked(docs.columns, "row"))

@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from daybook.llm.common import column, ship_library, stored
+from daybook.llm.common import column, packed, ship_library, stored, unpacked
 
 LABELLED = 6000
 UNLABELLED = 4000
@@ -323,12 +323,7 @@ def keep_good(
 ) -> DataFrame:
     """The rows of docs that are not rejected, with all their columns."""
     model = fit_quality(docs, labels, doc_id, label)
-    places = [f"c{i}" for i in range(len(docs.columns))]
-    # Under names of its own, so that any column name is allowed.
-    inner = docs.select(F.struct(*(column(c).alias(p) for c, p in zip(docs.columns, places))).alias("row"))
-    named = {c: F.col(f"row.{p}") for c, p in zip(docs.columns, places)}
-    wanted = [named[c].alias(c) for c in ("text", "lang", "source", "n_chars") if c in named]
-    scored = score_quality(inner.select("row", *wanted), model)
-    return scored.where(F.col(f"{SCORES}.score") >= threshold).select(
-        *(named[c].alias(c) for c in docs.columns)
-    )
+    wanted = [column(c) for c in ("text", "lang", "source", "n_chars") if c in docs.columns]
+    scored = score_quality(docs.select(packed(docs.columns).alias("row"), *wanted), model)
+    good = scored.where(F.col(f"{SCORES}.score") >= threshold)
+    return good.select(*unpacked(docs.columns, "row"))

@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 import pandas as pd
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from daybook.llm import pii
 from daybook.llm.bpe import encode_and_decode
@@ -62,7 +62,7 @@ def op5_simhash(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())  # a name of a type would need a session
 def _ids_sha256(lists: pd.Series) -> pd.Series:
     """Digest of ids as little-endian unsigned 32-bit integers."""
     return pd.Series([hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest() for ids in lists])

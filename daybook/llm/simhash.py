@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from daybook.llm.common import column, ship_library, stored
+from daybook.llm.common import column, packed, ship_library, stored, unpacked
 from daybook.llm.components import connected
 
 SHINGLE_WORDS = 4
@@ -264,8 +264,11 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """Of each component the row with the smallest doc_id, with all its columns.
 
-    Rows without a doc_id can't be told apart and all stay.
+    Rows without a doc_id can't be told apart and all stay; so do rows that repeat the
+    doc_id that stays.
     """
     found = near_duplicates(docs, doc_id, text)
     dropped = found.where("doc_id <> component_id").select(F.col("doc_id").alias("dropped"))
-    return docs.join(dropped, column(doc_id) == F.col("dropped"), "left_anti")
+    rows = docs.select(packed(docs.columns).alias("row"), column(doc_id).alias("id"))
+    kept = rows.join(dropped, F.col("id") == F.col("dropped"), "left_anti")
+    return kept.select(*unpacked(docs.columns, "row"))
