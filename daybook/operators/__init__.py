@@ -7,10 +7,14 @@ from daybook.operators.filters import (
     keep_positive,
     require_not_null,
 )
-from daybook.operators.joins import attach_rollup, enrich_left, lookup_groups
+from daybook.operators.joins import (
+    attach_rollup,
+    enrich_left,
+    lookup_groups,
+    usable_lookup,
+)
 from daybook.operators.ranking import keep_latest, rank_latest
 from daybook.operators.rollups import (
-    count_values,
     daily_activity,
     event_rollup,
     most_common_values,
@@ -21,7 +25,6 @@ __all__ = [
     "SchemaMismatch",
     "attach_rollup",
     "conform",
-    "count_values",
     "daily_activity",
     "enrich_left",
     "event_rollup",
@@ -34,4 +37,5 @@ __all__ = [
     "purchase_rollup",
     "rank_latest",
     "require_not_null",
+    "usable_lookup",
 ]

@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, functions as F, types as T
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
+# Digits of the largest value.
+_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
 _TIMESTAMP = (T.TimestampType, T.TimestampNTZType)
 
 
@@ -18,6 +20,17 @@ def _keeps_type(source: T.DataType, target: T.DataType) -> bool:
     )
 
 
+def _fits_decimal(source: T.DataType, target: T.DecimalType) -> bool:
+    """Whether every value of the source is one of the target, as it stands."""
+    if isinstance(source, T.DecimalType):
+        whole, scale = source.precision - source.scale, source.scale
+    elif type(source) in _DIGITS:
+        whole, scale = _DIGITS[type(source)], 0
+    else:
+        return False
+    return target.scale >= scale and target.precision - target.scale >= whole
+
+
 def _widens(source: T.DataType, target: T.DataType) -> bool:
     if isinstance(source, T.NullType):
         return True
@@ -25,6 +38,8 @@ def _widens(source: T.DataType, target: T.DataType) -> bool:
         return isinstance(source, T.AtomicType)
     if isinstance(target, _TIMESTAMP):
         return isinstance(source, T.DateType)
+    if isinstance(target, T.DecimalType):
+        return _fits_decimal(source, target)
     if isinstance(source, _NUMERIC) and isinstance(target, _NUMERIC):
         return _NUMERIC.index(type(source)) < _NUMERIC.index(type(target))
     return False

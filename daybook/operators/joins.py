@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from daybook.functions import fill_zero, with_defaults
 
 
-def _usable(lookup: DataFrame, lookup_filter: Column | str | None) -> DataFrame:
+def usable_lookup(lookup: DataFrame, lookup_filter: Column | str | None) -> DataFrame:
+    """The entries that count; the others are as good as missing."""
     return lookup if lookup_filter is None else lookup.where(lookup_filter)
 
 
@@ -26,7 +27,7 @@ def enrich_left(
     lookup it has measured to be small and otherwise splits skewed fact keys at
     run time.
     """
-    columns = _usable(lookup, lookup_filter).select(key, *defaults)
+    columns = usable_lookup(lookup, lookup_filter).select(key, *defaults)
     return with_defaults(facts.join(columns, key, "left"), defaults)
 
 
@@ -35,14 +36,17 @@ def lookup_groups(
     key: str,
     defaults: Mapping[str, object],
     lookup_filter: Column | str | None = None,
+    count_column: str = "copies",
 ) -> DataFrame:
-    """Lookup reduced to its distinct (key, attributes), with a `copies` count.
+    """Lookup reduced to its distinct (key, attributes), counted in count_column.
 
-    Joining a rollup to these and multiplying its counts by copies gives what
-    enriching every fact row first would give, without moving the fact rows.
+    Joining a rollup to these and multiplying its counts gives what enriching every
+    fact row first would give, without moving the fact rows.
     """
-    filled = with_defaults(_usable(lookup, lookup_filter), defaults)
-    return filled.groupBy(key, *defaults).agg(F.count("*").alias("copies"))
+    if count_column in (key, *defaults):
+        raise ValueError(f"{count_column!r} is a column of the lookup; name the count otherwise")
+    filled = with_defaults(usable_lookup(lookup, lookup_filter).select(key, *defaults), defaults)
+    return filled.groupBy(key, *defaults).agg(F.count("*").alias(count_column))
 
 
 def attach_rollup(base: DataFrame, rollup: DataFrame, key: str) -> DataFrame:

@@ -1,28 +1,15 @@
 """Recency ranking and latest-row deduplication."""
 
 from collections.abc import Sequence
-from functools import reduce
-from math import ceil
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from daybook.operators.naming import column, fresh_name
 from daybook.scratch import ensure_checkpoint_dir
 
-# A key with more rows than this is ranked in pieces instead of in one task.
-HOT_KEY_ROWS = 10_000_000
-# The largest hot keys that are split; any further ones are smaller than
-# 1/100,000 of the input and are ranked like ordinary keys.
-MAX_HOT_KEYS = 100_000
-
 
 def _newest_first(order: str, tiebreak: Sequence[str]) -> list[Column]:
-    return [F.col(order).desc_nulls_last(), *(F.col(name) for name in tiebreak)]
-
-
-def _ranked(df, keys, order, tiebreak, rank_column) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy(*_newest_first(order, tiebreak))
-    return df.withColumn(rank_column, F.row_number().over(window).cast("long"))
+    return [column(order).desc_nulls_last(), *(column(name) for name in tiebreak)]
 
 
 def keep_latest(
@@ -34,12 +21,10 @@ def keep_latest(
     in each map task before the shuffle: a key with a third of all rows sends
     one row per task, however large it is.
     """
-    window = Window.partitionBy(*keys).orderBy(*_newest_first(order, tiebreak))
-    return (
-        df.withColumn("_rank", F.row_number().over(window))
-        .where("_rank = 1")
-        .drop("_rank")
-    )
+    rank = fresh_name("_rank", df.columns)
+    window = Window.partitionBy(*map(column, keys)).orderBy(*_newest_first(order, tiebreak))
+    ranked = df.withColumn(rank, F.row_number().over(window))
+    return ranked.where(column(rank) == 1).drop(rank)
 
 
 def rank_latest(
@@ -48,88 +33,58 @@ def rank_latest(
     order: str,
     tiebreak: Sequence[str] = (),
     rank_column: str = "row_number",
-    hot_key_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Every row, with its rank (1 = newest) among the rows of its key.
 
-    Ranking needs all rows of a key in order, so a hot key would end up in one
-    task. This counts rows per key first (one job over the key columns). Keys
-    above hot_key_rows are range-partitioned on their full sort order and ranked
-    chunk by chunk; all others take the plain window. Where only the newest row
-    is wanted, keep_latest is cheaper.
+    All rows are sorted into range partitions, chunks, by key and then from new to
+    old. A key may fill many chunks, so none is too large for a task. A row's rank is
+    its rank within its chunk plus its key's rows in earlier chunks, and only the
+    first key of a chunk can have any: the offsets are one row per chunk.
+
+    The chunks are checkpointed at the call, as a second sampling pass would draw other
+    bounds; a row id spreads exact copies over chunks. The row travels in one struct,
+    so its columns may have any names. Where only the newest row is wanted,
+    keep_latest is cheaper.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    hot_names = [f"_hot_{name}" for name in keys]
-    hot = (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("_hot_rows"))
-        .where(F.col("_hot_rows") > hot_key_rows)
-        .orderBy(F.desc("_hot_rows"))
-        .limit(MAX_HOT_KEYS)
-        .toDF(*hot_names, "_hot_rows")
-        .checkpoint()
-    )
-    hot_total = hot.agg(F.sum("_hot_rows")).first()[0]
-    if hot_total is None:
-        return _ranked(df, keys, order, tiebreak, rank_column)
-
-    # At most MAX_HOT_KEYS rows, so safe to broadcast.
-    hot_keys = F.broadcast(hot.select(*hot_names))
-    is_hot = reduce(
-        and_, (F.col(k).eqNullSafe(F.col(h)) for k, h in zip(keys, hot_names))
-    )
-    cold = _ranked(
-        df.join(hot_keys, is_hot, "left_anti"), keys, order, tiebreak, rank_column
+    newest_first = [F.col("at").desc_nulls_last(), *(F.col(f"tie{i}") for i in range(len(tiebreak)))]
+    rows = df.select(
+        F.struct(*(column(name).alias(f"c{i}") for i, name in enumerate(df.columns))).alias("row"),
+        F.struct(*(column(name).alias(f"k{i}") for i, name in enumerate(keys))).alias("key"),
+        column(order).alias("at"),
+        *(column(name).alias(f"tie{i}") for i, name in enumerate(tiebreak)),
+        F.monotonically_increasing_id().alias("id"),
     )
-    chunked = _ranked_in_chunks(
-        df.join(hot_keys, is_hot, "left_semi"),
-        keys,
-        order,
-        tiebreak,
-        rank_column,
-        chunks=max(2, ceil(hot_total / hot_key_rows)),
-    )
-    return cold.unionByName(chunked)
-
-
-def _ranked_in_chunks(df, keys, order, tiebreak, rank_column, chunks) -> DataFrame:
-    """Rank rows by splitting each key's sorted rows over range partitions.
-
-    Rank = rows of the key in earlier chunks + rank within the chunk. The chunk
-    of a row is checkpointed, since a second pass would sample other range
-    bounds. The row id only spreads exact copies over chunks.
-    """
-    ranged = (
-        df.withColumn("_copy", F.monotonically_increasing_id())
-        .repartitionByRange(chunks, *keys, *_newest_first(order, tiebreak), "_copy")
-        .drop("_copy")
-        .withColumn("_chunk", F.spark_partition_id())
+    chunks = (
+        rows.repartitionByRange("key", *newest_first, "id")
+        .drop("id")
+        .withColumn("chunk", F.spark_partition_id())
         .checkpoint()
     )
-    names = [f"_offset_{name}" for name in keys]
-    earlier = (
-        Window.partitionBy(*keys)
-        .orderBy("_chunk")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    # Within a chunk all rows of a key are together: no group exceeds a chunk.
+    within = Window.partitionBy("chunk", "key").orderBy(*newest_first)
+    ranked = chunks.select("row", "key", "chunk", F.row_number().over(within).alias("within"))
+    # From here on one row per chunk, with two keys: as many rows as the cluster has
+    # shuffle partitions, whatever the data, so they may be broadcast.
+    bounds = chunks.groupBy("chunk").agg(
+        F.min("key").alias("first_key"), F.max("key").alias("last_key")
     )
-    offsets = (
-        ranged.groupBy(*keys, "_chunk")
-        .agg(F.count("*").alias("_rows"))
-        .select(
-            *keys, "_chunk", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
-        )
-        .toDF(*names, "_offset_chunk", "_offset")
+    ends = (
+        chunks.select("chunk", "key")
+        .join(F.broadcast(bounds), "chunk")
+        .where("key = last_key")
+        .groupBy("chunk", "first_key", "last_key")
+        .agg(F.count("*").alias("rows"))
     )
-    same_chunk = reduce(
-        and_,
-        (F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)),
-        F.col("_chunk") == F.col("_offset_chunk"),
+    same_end = Window.partitionBy("last_key").orderBy("chunk")
+    in_order = Window.orderBy("chunk")
+    counted = ends.withColumn("rows_until", F.sum("rows").over(same_end))
+    before = F.when(
+        F.lag("last_key").over(in_order) == F.col("first_key"), F.lag("rows_until").over(in_order)
     )
-    within = Window.partitionBy(*keys, "_chunk").orderBy(*_newest_first(order, tiebreak))
-    # A chunk is a contiguous range, so there are at most chunks + keys offsets.
-    return (
-        ranged.withColumn("_within", F.row_number().over(within))
-        .join(F.broadcast(offsets), same_chunk)
-        .withColumn(rank_column, F.col("_offset") + F.col("_within"))
-        .select(*df.columns, rank_column)
+    offsets = counted.select("chunk", "first_key", F.coalesce(before, F.lit(0)).alias("offset"))
+    offset = F.when(F.col("key") == F.col("first_key"), F.col("offset")).otherwise(0)
+    return ranked.join(F.broadcast(offsets), "chunk").select(
+        *(F.col(f"row.c{i}").alias(name) for i, name in enumerate(df.columns)),
+        (F.col("within") + offset).cast("long").alias(rank_column),
     )

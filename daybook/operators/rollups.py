@@ -10,38 +10,65 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DataType
 
 from daybook.functions import most_frequent
+from daybook.operators.naming import column
 
+# Inside this module keys are k0, k1, ... and attributes v0, v1, ...: the caller's names
+# come back at the end, so they can't clash with those of the columns in between.
 
-def count_values(
-    df: DataFrame, keys: Sequence[str], attributes: Sequence[str], *carried: Column
+
+def _count_values(
+    df: DataFrame, keys: Sequence[str], attributes: Sequence[str], time: str | None = None
 ) -> DataFrame:
     """Rows per (keys, attribute, value), in one pass for all attributes.
 
-    Null is counted as a value of its own. carried holds further aggregates,
-    over df's other columns, to compute for each of these groups.
+    Null is counted as a value of its own. Each attribute has a column of its own type,
+    null in the rows of the others. With time, also the first and last of each group.
     """
-    others = [name for name in df.columns if name not in (*keys, *attributes)]
-    return (
-        df.unpivot([*keys, *others], list(attributes), "attribute", "value")
-        .groupBy(*keys, "attribute", "value")
-        .agg(F.count("*").alias("occurrences"), *carried)
+    kinds = {name: df.schema[name].dataType for name in attributes}
+
+    def entry(place: int) -> Column:
+        values = (
+            (column(name) if i == place else F.lit(None).cast(kinds[name])).alias(f"v{i}")
+            for i, name in enumerate(attributes)
+        )
+        return F.struct(F.lit(place).alias("attribute"), *values)
+
+    timed = [] if time is None else [column(time).alias("time")]
+    seen = [] if time is None else [F.min("time").alias("first"), F.max("time").alias("last")]
+    names = [f"k{i}" for i in range(len(keys))]
+    entries = df.select(
+        *(column(key).alias(name) for key, name in zip(keys, names)),
+        *timed,
+        F.inline(F.array(*map(entry, range(len(attributes))))),
     )
+    group = [F.col(name) for name in (*names, "attribute", *(f"v{i}" for i in range(len(attributes))))]
+    # A single grouping set always shuffles partial counts. After a join on one of the keys
+    # groupBy would not, and then Spark could not split the join of a hot key.
+    return entries.groupingSets([group], *group).agg(F.count("*").alias("occurrences"), *seen)
+
+
+def _value_of(place: int) -> Column:
+    return F.when(F.col("attribute") == place, F.col(f"v{place}"))
 
 
-def _value_of(attribute: str) -> Column:
-    return F.when(F.col("attribute") == attribute, F.col("value"))
+def _grouped(counted: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame:
+    names = [f"k{i}" for i in range(len(keys))]
+    rolled = counted.groupBy(*names).agg(*aggregates)
+    renamed = [F.col(name).alias(key) for name, key in zip(names, keys)]
+    return rolled.select(*renamed, *(column(c) for c in rolled.columns[len(names) :]))
 
 
 def most_common_values(
     df: DataFrame, keys: Sequence[str], attributes: Sequence[str]
 ) -> DataFrame:
     """Most frequent non-null value of each attribute per group; lowest on a tie."""
-    counted = count_values(df.select(*keys, *attributes), keys, attributes)
-    return counted.groupBy(*keys).agg(
+    return _grouped(
+        _count_values(df, keys, attributes),
+        keys,
         *(
-            most_frequent(_value_of(name), F.col("occurrences")).alias(f"most_common_{name}")
-            for name in attributes
-        )
+            most_frequent(_value_of(i), F.col("occurrences")).alias(f"most_common_{name}")
+            for i, name in enumerate(attributes)
+        ),
     )
 
 
@@ -49,23 +76,20 @@ def event_rollup(
     events: DataFrame, keys: Sequence[str] = ("user_id", "partition_date")
 ) -> DataFrame:
     """Per group: events, sessions, usual device and type, first and last time."""
-    counted = count_values(
-        events.select(*keys, "session_id", "device_type", "event_type", "event_timestamp"),
-        keys,
-        ["session_id", "device_type", "event_type"],
-        F.min("event_timestamp").alias("first_seen"),
-        F.max("event_timestamp").alias("last_seen"),
+    counted = _count_values(
+        events, keys, ["session_id", "device_type", "event_type"], "event_timestamp"
     )
     # Each event was counted once per attribute; any one of them gives the total.
-    sessions = F.col("attribute") == "session_id"
     count = F.col("occurrences")
-    return counted.groupBy(*keys).agg(
-        F.sum(F.when(sessions, count)).alias("total_events"),
-        F.count(_value_of("session_id")).alias("unique_sessions"),
-        most_frequent(_value_of("device_type"), count).alias("most_common_device"),
-        most_frequent(_value_of("event_type"), count).alias("most_common_event_type"),
-        F.min("first_seen").alias("first_event_timestamp"),
-        F.max("last_seen").alias("last_event_timestamp"),
+    return _grouped(
+        counted,
+        keys,
+        F.sum(F.when(F.col("attribute") == 0, count)).alias("total_events"),
+        F.count(_value_of(0)).alias("unique_sessions"),
+        most_frequent(_value_of(1), count).alias("most_common_device"),
+        most_frequent(_value_of(2), count).alias("most_common_event_type"),
+        F.min("first").alias("first_event_timestamp"),
+        F.max("last").alias("last_event_timestamp"),
     )
 
 

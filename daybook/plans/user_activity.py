@@ -16,6 +16,7 @@ from daybook.operators import (
     purchase_rollup,
     rank_latest,
     require_not_null,
+    usable_lookup,
 )
 from daybook.schemas import (
     ENRICHED_PURCHASE,
@@ -107,14 +108,28 @@ def aggregate_user_activity(
     return summary.select(*USER_ACTIVITY_SUMMARY.names)
 
 
+def active_by_user(profiles: DataFrame) -> DataFrame:
+    """Active profiles, those of a user together in one partition.
+
+    Grouping and joining by user then need no further shuffle, and Spark runs this one
+    once for all steps that start from it.
+    """
+    active = usable_lookup(profiles, ACTIVE).select("user_id", *PROFILE_DEFAULTS)
+    return active.repartition("user_id")
+
+
 def enriched_event_rollup(latest: DataFrame, profiles: DataFrame) -> DataFrame:
     """event_rollup of enrich_events, with the profiles joined after the rollup.
 
     The join then moves one row per user and date instead of one per event, and
     no user is too large for it.
     """
-    groups = lookup_groups(profiles, "user_id", PROFILE_DEFAULTS, ACTIVE)
-    joined = event_rollup(latest).join(groups, "user_id", "left")
+    return _with_profiles(event_rollup(latest), active_by_user(profiles))
+
+
+def _with_profiles(rollup: DataFrame, active: DataFrame) -> DataFrame:
+    groups = lookup_groups(active, "user_id", PROFILE_DEFAULTS)
+    joined = rollup.join(groups, "user_id", "left")
     repeated = with_defaults(joined, {**PROFILE_DEFAULTS, "copies": 1})
     return repeated.withColumn(
         "total_events", F.col("total_events") * F.col("copies")
@@ -129,8 +144,14 @@ def enriched_purchase_rollup(
     A rollup per user uses no profile column; only how often a user's purchases
     would repeat for want of a unique profile.
     """
-    copies = profiles.where(ACTIVE).groupBy("user_id").agg(F.count("*").alias("copies"))
-    joined = purchase_rollup(latest, amount_type).join(copies, "user_id", "left")
+    return _repeated(purchase_rollup(latest, amount_type), active_by_user(profiles))
+
+
+def _repeated(rollup: DataFrame, active: DataFrame) -> DataFrame:
+    # From the same groups as the events' profiles, so that Spark runs their shuffle once.
+    groups = lookup_groups(active, "user_id", PROFILE_DEFAULTS)
+    copies = groups.groupBy("user_id").agg(F.sum("copies").alias("copies"))
+    joined = rollup.join(copies, "user_id", "left")
     repeat = F.coalesce("copies", F.lit(1))
     return joined.withColumns(
         {
@@ -171,6 +192,8 @@ def run_user_activity(
     purchases_table: str,
     output_table: str,
     profiles_table: str = "lookup_user",
+    amount_type: DataType | None = None,
+    output_path: str | None = None,
 ) -> None:
     """Read the three tables, summarise, and overwrite the output table."""
     summary = user_activity_summary(
@@ -179,5 +202,6 @@ def run_user_activity(
         scan_typed(spark, profiles_table, USER_PROFILE),
         start,
         end,
+        amount_type,
     )
-    write_typed(summary, output_table, USER_ACTIVITY_SUMMARY)
+    write_typed(summary, output_table, USER_ACTIVITY_SUMMARY, path=output_path)

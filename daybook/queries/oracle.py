@@ -11,7 +11,7 @@ _INPUTS = """
 user_events AS (
   SELECT CAST(event_id AS STRING) AS event_id,
     CASE WHEN event_id % 97 = 0 THEN NULL ELSE event_type END AS event_type,
-    ts AS event_timestamp,
+    CASE WHEN event_id % 71 = 0 THEN NULL ELSE ts END AS event_timestamp,
     CASE WHEN event_id % 53 = 0 THEN NULL
          ELSE concat(CAST(user_id AS STRING), '-', CAST(event_id % 7 AS STRING)) END AS session_id,
     concat('/page', CAST(event_id % 20 AS STRING)) AS page_url,
@@ -20,25 +20,36 @@ user_events AS (
     CAST(year(ts) * 10000 + month(ts) * 100 + day(ts) AS INT) AS partition_date
   FROM events),
 purchases AS (
-  SELECT CAST(l_orderkey AS STRING) AS transaction_id, CAST(l_partkey AS STRING) AS product_id,
+  SELECT CASE WHEN l_orderkey % 211 = 0 THEN NULL ELSE CAST(l_orderkey AS STRING) END
+      AS transaction_id, CAST(l_partkey AS STRING) AS product_id,
     CASE WHEN (l_orderkey + l_linenumber) % 101 = 0 THEN -l_extendedprice
          ELSE l_extendedprice END AS purchase_amount,
     l_shipdate AS purchase_timestamp,
     CASE l_linenumber % 3 WHEN 0 THEN 'credit' WHEN 1 THEN 'paypal' ELSE 'debit' END
       AS payment_method,
-    'USD' AS currency, l_returnflag = 'R' AS is_refunded,
-    CAST(o_custkey AS STRING) AS user_id,
+    'USD' AS currency,
+    CASE WHEN (l_orderkey + l_linenumber) % 29 = 0 THEN NULL ELSE l_returnflag = 'R' END AS is_refunded,
+    CASE WHEN o_custkey % 37 = 0 THEN NULL ELSE CAST(o_custkey AS STRING) END AS user_id,
     CAST(20240101 + l_orderkey % 30 AS INT) AS partition_date
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
-lookup_user AS (
-  SELECT CAST(c_custkey AS STRING) AS user_id, c_name AS username,
+profiles AS (
+  SELECT c_custkey, CAST(c_custkey AS STRING) AS user_id, c_name AS username,
     CASE c_custkey % 5 WHEN 0 THEN '18-24' WHEN 1 THEN '25-34' WHEN 2 THEN '35-44'
                        WHEN 3 THEN '45+' ELSE NULL END AS age_group,
     n_name AS country,
     CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE lower(c_mktsegment) END AS subscription_tier,
     concat(lower(c_name), '@example.com') AS email,
+    TIMESTAMP '2020-01-01 00:00:00' AS registration_date,
     c_acctbal >= 0 AS is_active
-  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey)"""
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey),
+lookup_user AS (
+  SELECT user_id, username, age_group, country, subscription_tier, email, registration_date, is_active
+  FROM profiles
+  UNION ALL
+  SELECT user_id, username, age_group, country,
+    CASE WHEN c_custkey % 13 = 0 THEN 'trial' ELSE subscription_tier END,
+    email, registration_date, is_active
+  FROM profiles WHERE c_custkey % 11 = 0 OR c_custkey % 13 = 0)"""
 
 _RANKED = f"""
 ranked_events AS (
@@ -181,13 +192,13 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT {_PURCHASE_COLUMNS} FROM ranked_purchases WHERE row_number = 1"
     ),
     "fn_coalesce_defaults": _over_inputs(f"SELECT user_id, {_DEFAULTED} FROM lookup_user"),
-    "fn_fill_zero": _over_ranked(f"""
+    "fn_fill_zero": _over_inputs(f"""
 SELECT user_id, username, coalesce(total_purchases, 0) AS total_purchases,
   coalesce(total_purchase_amount, 0) AS total_purchase_amount,
   coalesce(avg_purchase_amount, 0) AS avg_purchase_amount
 FROM lookup_user LEFT JOIN (
   SELECT user_id, {_MONEY}
-  FROM ranked_purchases WHERE row_number = 1 GROUP BY user_id) AS totals USING (user_id)"""),
+  FROM purchases GROUP BY user_id) AS totals USING (user_id)"""),
     "join_enrich_events": _over_enriched("SELECT * FROM enriched_events"),
     "join_enrich_purchases": _over_enriched("SELECT * FROM enriched_purchases"),
     "join_event_purchase_rollups": _over_rollups(_SUMMARY),
@@ -216,7 +227,7 @@ SELECT user_id, partition_date, {_first_of_day("device_type", "first_device")},
   {_first_of_day("event_type", "first_event_type")}
 FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id, partition_date
-                               ORDER BY event_timestamp, event_id) AS place
+                               ORDER BY event_timestamp NULLS FIRST, event_id) AS place
   FROM user_events) AS placed
 GROUP BY user_id, partition_date"""),
     "agg_min_max": _by_day(
@@ -225,4 +236,5 @@ GROUP BY user_id, partition_date"""),
     ),
     "agg_sum_avg": _over_inputs(f"SELECT user_id, {_MONEY} FROM purchases GROUP BY user_id"),
     "user_activity_summary": _over_rollups(_SUMMARY),
+    "job_tables_roundtrip": _over_rollups(_SUMMARY),
 }

@@ -1,7 +1,6 @@
 """One query per operator, over whole tables."""
 
 from collections.abc import Callable
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -26,11 +25,12 @@ from daybook.plans.user_activity import (
     latest_purchases,
     ranked_events,
     ranked_purchases,
+    run_user_activity,
     user_activity_summary,
 )
 from daybook.queries.inputs import lookup_user, purchases, table, table_name, user_events
-from daybook.schemas import PROFILE_DEFAULTS, PURCHASE, USER_EVENT
-from daybook.scratch import ensure_checkpoint_dir
+from daybook.schemas import PROFILE_DEFAULTS, PURCHASE, USER_ACTIVITY_SUMMARY, USER_EVENT
+from daybook.scratch import new_table
 from daybook.sinks import (
     write_compact,
     write_partitioned,
@@ -90,14 +90,9 @@ def src_project_columns(spark, sf_dir):
 # Sinks: write a new table in the shared scratch folder, then scan it by name.
 
 
-def _new_table(spark: SparkSession) -> dict[str, str]:
-    name = f"daybook_{uuid4().hex}"
-    return {"name": name, "path": f"{ensure_checkpoint_dir(spark)}/{name}"}
-
-
 @_query
 def snk_overwrite_roundtrip(spark, sf_dir):
-    target = _new_table(spark)
+    target = new_table(spark)
     write_table(table(spark, sf_dir, "customer"), **target)
     write_table(table(spark, sf_dir, "orders"), **target)
     return scan_table(spark, target["name"])
@@ -105,7 +100,7 @@ def snk_overwrite_roundtrip(spark, sf_dir):
 
 @_query
 def snk_typed_roundtrip(spark, sf_dir):
-    target = _new_table(spark)
+    target = new_table(spark)
     write_typed(table(spark, sf_dir, "lineitem"), schema=LINE, **target)
     return scan_typed(spark, target["name"], LINE)
 
@@ -113,7 +108,7 @@ def snk_typed_roundtrip(spark, sf_dir):
 @_query
 def snk_append(spark, sf_dir):
     """Two customer extracts in one table; the second has its columns reversed."""
-    target = _new_table(spark)
+    target = new_table(spark)
     customers = table(spark, sf_dir, "customer")
     in_debt = F.coalesce(F.col("c_acctbal") < 0, F.lit(False))
     write_table(customers.where(~in_debt), **target)
@@ -126,7 +121,7 @@ def snk_append(spark, sf_dir):
 @_query
 def snk_ignore(spark, sf_dir):
     """The second write finds the table present and changes nothing."""
-    target = _new_table(spark)
+    target = new_table(spark)
     orders = table(spark, sf_dir, "orders")
     write_table(orders, mode="ignore", **target)
     write_table(orders.where("o_totalprice > 1000"), mode="ignore", **target)
@@ -135,7 +130,7 @@ def snk_ignore(spark, sf_dir):
 
 @_query
 def snk_partitioned_pruned_read(spark, sf_dir):
-    target = _new_table(spark)
+    target = new_table(spark)
     bought = purchases(spark, sf_dir)
     write_partitioned(bought, partition_columns=["partition_date"], **target)
     stored = filter_between(scan_table(spark, target["name"]), "partition_date", START, END)
@@ -144,7 +139,7 @@ def snk_partitioned_pruned_read(spark, sf_dir):
 
 @_query
 def snk_typed_partitioned(spark, sf_dir):
-    target = _new_table(spark)
+    target = new_table(spark)
     write_typed_partitioned(
         user_events(spark, sf_dir),
         schema=USER_EVENT,
@@ -156,7 +151,7 @@ def snk_typed_partitioned(spark, sf_dir):
 
 @_query
 def snk_compact_roundtrip(spark, sf_dir):
-    target = _new_table(spark)
+    target = new_table(spark)
     write_compact(table(spark, sf_dir, "lineitem"), target_file_mb=128, **target)
     return scan_table(spark, target["name"])
 
@@ -186,7 +181,7 @@ def flt_positive_amount(spark, sf_dir):
 
 @_query
 def flt_active_profiles(spark, sf_dir):
-    return lookup_user(spark, sf_dir).where("is_active").drop("registration_date")
+    return lookup_user(spark, sf_dir).where("is_active")
 
 
 # Ranking and deduplication
@@ -224,7 +219,7 @@ def fn_coalesce_defaults(spark, sf_dir):
 @_query
 def fn_fill_zero(spark, sf_dir):
     """Totals per profile; profiles without purchases show 0, not null."""
-    totals = purchase_rollup(latest_purchases(purchases(spark, sf_dir), START, END), CENTS)
+    totals = purchase_rollup(purchases(spark, sf_dir), CENTS)
     joined = lookup_user(spark, sf_dir).select("user_id", "username").join(totals, "user_id", "left")
     return fill_zero(joined, "total_purchases", "total_purchase_amount", "avg_purchase_amount")
 
@@ -339,3 +334,24 @@ def _summary(spark, sf_dir):
 
 
 QUERIES["user_activity_summary"] = _summary
+
+
+@_query
+def job_tables_roundtrip(spark, sf_dir):
+    """The job from tables to table, then a scan of what it wrote."""
+    events, bought, users, output = (new_table(spark) for _ in range(4))
+    write_partitioned(user_events(spark, sf_dir), partition_columns=["partition_date"], **events)
+    write_partitioned(purchases(spark, sf_dir), partition_columns=["partition_date"], **bought)
+    write_table(lookup_user(spark, sf_dir), **users)
+    run_user_activity(
+        spark,
+        START,
+        END,
+        events["name"],
+        bought["name"],
+        output["name"],
+        users["name"],
+        CENTS,
+        output["path"],
+    )
+    return scan_typed(spark, output["name"], USER_ACTIVITY_SUMMARY)

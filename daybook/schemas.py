@@ -1,7 +1,8 @@
 """Declared table contracts.
 
 Field groups that several tables share are written once and concatenated, so a
-column keeps one name and one type from the source to the summary.
+column keeps one name and one type from the source to the summary. The names and types
+are fixed values: they are the data's contract.
 """
 
 from pyspark.sql import types as T

@@ -2,23 +2,71 @@
 
 import re
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
+# Paths and tables made here, by application.
+_made: dict[str, list[tuple[str, str | None]]] = {}
+
+_SAME_MACHINE = re.compile(r"local(\[.*\]|-cluster\[.*\])?")
+
+
+def _is_temporary(folder: str) -> bool:
+    """A folder of this machine's temporary files, which executors elsewhere can't see."""
+    path = re.sub(r"^file:/*", "/", folder)
+    return any(
+        path == top or path.startswith(f"{top}/") for top in ("/tmp", "/var/tmp", tempfile.gettempdir())
+    )
+
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Folder named by spark.checkpoint.dir, or already set on the context.
+    """Folder where the context checkpoints: the one already set, or spark.checkpoint.dir.
 
-    A machine-local folder stands in only when Spark itself runs on this machine.
+    A machine-local folder stands in only when Spark itself runs on this machine, and
+    a temporary one is refused otherwise.
     """
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(named)
-        return named
+    here = _SAME_MACHINE.fullmatch(context.master)
     if context.getCheckpointDir() is None:
-        if not re.fullmatch(r"local(\[.*\])?", context.master):
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not here:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="daybook-"))
-    return context.getCheckpointDir()
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="daybook-"))
+    folder = context.getCheckpointDir()
+    if not here and _is_temporary(folder):
+        raise RuntimeError(f"spark.checkpoint.dir is local to one machine: {folder}")
+    return folder
+
+
+def new_path(spark: SparkSession, prefix: str = "daybook") -> str:
+    """A path for scratch files, not made yet."""
+    path = f"{ensure_checkpoint_dir(spark)}/{prefix}_{uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append((path, None))
+    return path
+
+
+def new_table(spark: SparkSession) -> dict[str, str]:
+    """Name and path for a scratch table."""
+    path = new_path(spark)
+    name = path.rpartition("/")[2]
+    _made[spark.sparkContext.applicationId][-1] = (path, name)
+    return {"name": name, "path": path}
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Drop all scratch tables and files made so far, and say how many there were.
+
+    Frames that were returned but not read yet may still need theirs: call this only once
+    all results are stored elsewhere. Checkpoints go with the frames they belong to,
+    where spark.cleaner.referenceTracking.cleanCheckpoints is set.
+    """
+    made = _made.pop(spark.sparkContext.applicationId, [])
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    for path, name in made:
+        if name is not None:
+            spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+        place = hadoop(path)
+        place.getFileSystem(settings).delete(place, True)
+    return len(made)

@@ -6,6 +6,7 @@ external, stored there; without one it goes to the session's warehouse.
 
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
+from threading import RLock
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -85,9 +86,13 @@ def write_partitioned(
     unknown = [column for column in partition_columns if column not in df.columns]
     if unknown:
         raise ValueError(f"partition columns {unknown} are not in the frame")
-    if cluster:
-        df = df.hint("rebalance", *(F.col(column) for column in partition_columns))
-    _save(df, name, mode, path, partition_columns)
+    if not cluster:
+        _save(df, name, mode, path, partition_columns)
+        return
+    df = df.hint("rebalance", *(F.col(column) for column in partition_columns))
+    # Only adaptive execution splits a large value.
+    with _session_settings(df.sparkSession, {"spark.sql.adaptive.enabled": "true"}):
+        _save(df, name, mode, path, partition_columns)
 
 
 def write_typed_partitioned(
@@ -103,42 +108,58 @@ def write_typed_partitioned(
     write_partitioned(conform(df, schema), name, partition_columns, mode, path)
 
 
+_TURN = RLock()
+
+
 @contextmanager
 def _session_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
-    before = {key: spark.conf.get(key, None) for key in settings}
-    try:
-        for key, value in settings.items():
-            spark.conf.set(key, value)
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
+    """Settings for one write; writers in other threads wait until they are undone."""
+    with _TURN:
+        before = {key: spark.conf.get(key, None) for key in settings}
+        try:
+            for key, value in settings.items():
                 spark.conf.set(key, value)
+            yield
+        finally:
+            for key, value in before.items():
+                if value is None:
+                    spark.conf.unset(key)
+                else:
+                    spark.conf.set(key, value)
+
+
+# Small pieces add up to a target more exactly; larger ones than the target are split.
+_PIECES = 512
 
 
 def write_compact(
     df: DataFrame,
     name: str,
     mode: str = "overwrite",
-    target_file_mb: int = 128,
+    target_file_mb: float = 128,
     path: str | None = None,
+    shuffled_per_file_byte: float = 2.0,
 ) -> None:
     """Write files of about the target size, in one run of the plan.
 
     Small partitions merge and large ones split, from the sizes the rebalancing
-    shuffle measured. The target counts shuffled bytes, and parquet is often
-    smaller, so take it as the upper end. The sizing settings hold for the whole
-    session during the write: do not run other queries in it meanwhile.
+    shuffle measured. Those are of shuffled rows; shuffled_per_file_byte says how many
+    bytes of them become one byte of a file, which depends on how well the columns
+    compress (about 2 for a table of numbers and short strings). The sizing settings hold
+    for the whole session during the write. Writers of this module take turns with
+    them; other queries of the session should wait.
     """
     _check(df, name)
-    if target_file_mb <= 0:
-        raise ValueError("target file size must be positive")
+    if target_file_mb <= 0 or shuffled_per_file_byte <= 0:
+        raise ValueError("the size of files and the ratio have to be positive")
+    session = df.sparkSession.conf
+    partitions = max(_PIECES, int(session.get("spark.sql.shuffle.partitions")))
+    shuffled = round(target_file_mb * shuffled_per_file_byte * 1024 * 1024)
     sizing = {
         "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_file_mb}MB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffled),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
     }
     with _session_settings(df.sparkSession, sizing):
         _save(df.hint("rebalance"), name, mode, path)

@@ -19,11 +19,11 @@ def event_rows(*rows):
     defaults = {
         "event_id": "1",
         "event_type": "click",
-        "event_timestamp": at(1000),
-        "session_id": "session1",
-        "page_url": "/page1",
-        "device_type": "mobile",
-        "user_id": "user1",
+        "event_timestamp": at(320),
+        "session_id": "morning",
+        "page_url": "/start",
+        "device_type": "watch",
+        "user_id": "nr-11",
         "partition_date": 20240101,
     }
     return _rows(USER_EVENT, defaults, rows)
@@ -36,13 +36,13 @@ def events(spark, *rows):
 def purchases(spark, *rows):
     defaults = {
         "transaction_id": "t1",
-        "product_id": "prod1",
-        "purchase_amount": 99.99,
-        "purchase_timestamp": at(1000),
-        "payment_method": "credit",
+        "product_id": "lamp",
+        "purchase_amount": 42.5,
+        "purchase_timestamp": at(320),
+        "payment_method": "card",
         "currency": "USD",
         "is_refunded": False,
-        "user_id": "user1",
+        "user_id": "nr-11",
         "partition_date": 20240101,
     }
     return spark.createDataFrame(_rows(PURCHASE, defaults, rows), PURCHASE)
@@ -50,24 +50,24 @@ def purchases(spark, *rows):
 
 def profiles(spark, *rows):
     defaults = {
-        "user_id": "user1",
-        "username": "alice",
-        "age_group": "25-34",
-        "country": "US",
-        "subscription_tier": "premium",
-        "email": "alice@example.com",
-        "registration_date": at(500),
+        "user_id": "nr-11",
+        "username": "ines",
+        "age_group": "18-24",
+        "country": "PT",
+        "subscription_tier": "gold",
+        "email": "ines@mail.example",
+        "registration_date": at(90),
         "is_active": True,
     }
     return spark.createDataFrame(_rows(USER_PROFILE, defaults, rows), USER_PROFILE)
 
 
-ALICE = {}
-BOB = {
-    "user_id": "user2",
-    "username": "bob",
-    "age_group": "35-44",
-    "country": "UK",
-    "subscription_tier": "basic",
+INES = {}
+TOMAS = {
+    "user_id": "nr-22",
+    "username": "tomas",
+    "age_group": "45+",
+    "country": "CZ",
+    "subscription_tier": "silver",
 }
-CHARLIE = {"user_id": "user3", "username": "charlie", "country": "CA", "is_active": False}
+YUKI = {"user_id": "nr-33", "username": "yuki", "country": "JP", "is_active": False}

@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter, defaultdict
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -15,10 +16,10 @@ from daybook.operators import (
     enrich_left,
     event_rollup,
     keep_latest,
+    lookup_groups,
     most_common_values,
     purchase_rollup,
     rank_latest,
-    ranking,
 )
 from frames import at, events, profiles, purchases
 
@@ -44,28 +45,108 @@ def expected_ranks(rows):
     return ranks
 
 
-@pytest.mark.parametrize("hot_key_rows", [10_000, 50, 5, 1])
-def test_ranks_do_not_depend_on_splitting_hot_keys(spark, hot_key_rows):
-    rows = keyed_rows(hot_key_rows)
-    df = spark.createDataFrame(rows, "id int, k1 string, k2 string, t int")
-    ranked = rank_latest(df, ["k1", "k2"], "t", ["id"], hot_key_rows=hot_key_rows)
-    assert ranked.columns == [*df.columns, "row_number"]
-    assert ranked.schema["row_number"].dataType == T.LongType()
-    assert {r.id: r.row_number for r in ranked.collect()} == expected_ranks(rows)
+def by_range(spark, chunks):
+    """Adaptive execution would merge the small chunks of a test into one."""
+    return settings(
+        spark,
+        {
+            "spark.sql.shuffle.partitions": str(chunks),
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        },
+    )
 
 
-def test_keys_past_the_split_limit_are_ranked_too(spark, monkeypatch):
-    monkeypatch.setattr(ranking, "MAX_HOT_KEYS", 2)
-    rows = keyed_rows(7)
+@contextmanager
+def settings(spark, values):
+    before = {key: spark.conf.get(key) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("chunks", [1, 2, 7, 40])
+def test_ranks_do_not_depend_on_the_chunks(spark, chunks):
+    """One key, partly null, fills more than a third of the chunks."""
+    rows = keyed_rows(chunks)
     df = spark.createDataFrame(rows, "id int, k1 string, k2 string, t int")
-    ranked = rank_latest(df, ["k1", "k2"], "t", ["id"], hot_key_rows=5)
-    assert {r.id: r.row_number for r in ranked.collect()} == expected_ranks(rows)
+    with by_range(spark, chunks):
+        ranked = rank_latest(df, ["k1", "k2"], "t", ["id"])
+        assert ranked.columns == [*df.columns, "row_number"]
+        assert ranked.schema["row_number"].dataType == T.LongType()
+        assert {r.id: r.row_number for r in ranked.collect()} == expected_ranks(rows)
+
+
+def test_all_keys_may_differ_or_be_null(spark):
+    df = spark.range(500).select(F.col("id").alias("k"), F.lit(1).alias("t"))
+    with by_range(spark, 9):
+        assert {r.row_number for r in rank_latest(df, ["k"], "t").collect()} == {1}
+        nulls = df.withColumn("k", F.lit(None).cast("string"))
+        ranks = sorted(r.row_number for r in rank_latest(nulls, ["k"], "t").collect())
+    assert ranks == list(range(1, 501))
 
 
 def test_exact_copies_are_spread_and_numbered(spark):
     df = spark.range(1000).select(F.lit("k").alias("k"), F.lit(1).alias("t"))
-    ranked = rank_latest(df, ["k"], "t", hot_key_rows=100)
-    assert sorted(r.row_number for r in ranked.collect()) == list(range(1, 1001))
+    with by_range(spark, 10):
+        ranked = rank_latest(df, ["k"], "t")
+        assert sorted(r.row_number for r in ranked.collect()) == list(range(1, 1001))
+
+
+HELPERS = [
+    "_rank", "_chunk", "_within", "_copy", "_rows", "row", "key", "at", "tie0", "chunk", "within",
+    "offset", "first_key", "last_key", "rows", "attribute", "value", "occurrences", "copies", "k0",
+    "v0", "time", "first", "last",
+]
+
+
+def with_helpers(df):
+    return df.withColumns({name: F.lit(f"own {name}") for name in HELPERS})
+
+
+@pytest.mark.parametrize("rank", [rank_latest, keep_latest])
+def test_ranking_leaves_columns_of_any_name_alone(spark, rank):
+    rows = keyed_rows(2, count=60)
+    df = with_helpers(spark.createDataFrame(rows, "id int, k1 string, k2 string, t int"))
+    plain = rank(df.drop(*HELPERS), ["k1", "k2"], "t", ["id"])
+    full = rank(df, ["k1", "k2"], "t", ["id"])
+    assert full.columns == df.columns + plain.columns[4:]
+    assert sorted(map(tuple, full.drop(*HELPERS).collect())) == sorted(map(tuple, plain.collect()))
+    assert tuple(full.select(*HELPERS).distinct().first()) == tuple(f"own {n}" for n in HELPERS)
+
+
+@pytest.mark.parametrize("name", HELPERS)
+def test_keys_and_attributes_may_have_any_name(spark, name):
+    df = spark.createDataFrame([("a", "x"), ("a", "x"), ("a", "y"), (None, None)], f"`{name}` string, v string")
+    found = most_common_values(df, [name], ["v"])
+    assert sorted(map(tuple, found.collect()), key=str) == [("a", "x"), (None, None)]
+    found = most_common_values(df, ["v"], [name])
+    assert found.columns == ["v", f"most_common_{name}"] and found.count() == 3
+    ranked = rank_latest(df.withColumn("n", F.lit(1)), [name], "n", ["v"])
+    assert sorted(r.row_number for r in ranked.collect()) == [1, 1, 2, 3]
+
+
+def test_attributes_of_different_types_are_counted(spark):
+    df = spark.createDataFrame(
+        [("u", 7, "phone", 1.5), ("u", 7, "phone", 2.5), ("u", 8, None, 2.5)],
+        "k string, session int, device string, price double",
+    )
+    found = most_common_values(df, ["k"], ["session", "device", "price"]).first()
+    assert tuple(found) == ("u", 7, "phone", 2.5)
+    source = events(spark, {}, {"event_type": "view"}).withColumn("session_id", F.lit(5))
+    row = event_rollup(with_helpers(source)).first()
+    assert (row.total_events, row.unique_sessions) == (2, 1)
+
+
+def test_a_lookup_that_counts_copies_itself(spark):
+    lookup = spark.createDataFrame([(1, 3), (1, 3)], "k int, copies int")
+    with pytest.raises(ValueError, match="copies"):
+        lookup_groups(lookup, "k", {"copies": 0})
+    groups = lookup_groups(lookup, "k", {"copies": 0}, count_column="n")
+    assert [tuple(r) for r in groups.collect()] == [(1, 3, 2)]
 
 
 def test_keep_latest_equals_rank_one(spark):
@@ -82,7 +163,7 @@ def test_other_tables_and_names(spark):
     newest = keep_latest(orders, ["o_custkey"], "o_orderdate", ["o_orderkey"])
     assert newest.count() == orders.select("o_custkey").distinct().count()
     ranked = rank_latest(
-        orders, ["o_custkey"], "o_orderdate", ["o_orderkey"], rank_column="recency", hot_key_rows=10
+        orders, ["o_custkey"], "o_orderdate", ["o_orderkey"], rank_column="recency"
     )
     assert ranked.where("recency = 1").drop("recency").exceptAll(newest).isEmpty()
     assert ranked.count() == orders.count()
@@ -122,6 +203,8 @@ def test_conform_projects_widens_and_orders_by_name(spark):
         (field("text", T.LongType()), "does not widen"),
         (field("text", T.TimestampType()), "does not widen"),
         (field("flag", T.IntegerType()), "does not widen"),
+        (field("small", T.DecimalType(9, 0)), "does not widen"),
+        (field("text", T.DecimalType(9, 0)), "does not widen"),
     ],
 )
 def test_conform_refuses(spark, schema, reason):
@@ -129,6 +212,16 @@ def test_conform_refuses(spark, schema, reason):
         conform(source_frame(spark), schema)
 
 
+def test_conform_widens_to_decimals_that_hold_every_value(spark):
+    df = spark.sql("SELECT 12 AS i, CAST(1.25 AS DECIMAL(5, 2)) AS d, 2.5D AS x")
+    assert conform(df, field("i", T.DecimalType(12, 2))).first()[0] == 12
+    wider = conform(df, field("d", T.DecimalType(8, 3)))
+    assert wider.schema["d"].dataType == T.DecimalType(8, 3) and float(wider.first()[0]) == 1.25
+    for name, kind in (("i", (11, 2)), ("d", (6, 4)), ("d", (4, 2)), ("x", (30, 10))):
+        with pytest.raises(SchemaMismatch, match="does not widen"):
+            conform(df, field(name, T.DecimalType(*kind)))
+
+
 def test_conform_names_all_problems_and_ambiguity(spark):
     doubled = source_frame(spark).select("small", F.col("text").alias("Small"))
     both = T.StructType([*field("small", T.LongType()), *field("gone", T.LongType())])
@@ -198,7 +291,7 @@ def test_event_rollup_by_hand(spark):
             "event_id": str(i),
             "event_timestamp": pick([None, at(1), at(2), at(3)]),
             "session_id": pick(["s1", "s2", None]),
-            "device_type": pick(["mobile", "desktop", "tablet", None]) if i % 7 else None,
+            "device_type": pick(["watch", "tv", "tablet", None]) if i % 7 else None,
             "event_type": pick(["view", "click"]),
             "user_id": pick(["a", "b", "c"]),
         }
@@ -254,13 +347,13 @@ def test_purchase_rollup_exact_and_plain(spark):
     source = purchases(
         spark,
         *({"purchase_amount": 0.1} for _ in range(10)),
-        {"purchase_amount": None, "user_id": "user2"},
+        {"purchase_amount": None, "user_id": "nr-22"},
         {"purchase_amount": 1.0, "user_id": None},
     )
     plain = {r.user_id: r for r in purchase_rollup(source).collect()}
-    assert plain["user1"].total_purchase_amount == pytest.approx(1.0)
+    assert plain["nr-11"].total_purchase_amount == pytest.approx(1.0)
     exact = {r.user_id: tuple(r)[1:] for r in purchase_rollup(source, T.DecimalType(18, 2)).collect()}
-    assert exact == {"user1": (10, 1.0, 0.1), "user2": (1, None, None), None: (1, 1.0, 1.0)}
+    assert exact == {"nr-11": (10, 1.0, 0.1), "nr-22": (1, None, None), None: (1, 1.0, 1.0)}
 
 
 def test_daily_activity_equals_joining_first(spark):
@@ -269,12 +362,12 @@ def test_daily_activity_equals_joining_first(spark):
         {"event_id": "1", "session_id": "a"},
         {"event_id": "2", "session_id": "a"},
         {"event_id": "3", "session_id": None},
-        {"event_id": "4", "user_id": "user2"},
+        {"event_id": "4", "user_id": "nr-22"},
         {"event_id": "5", "user_id": "stranger"},
         {"event_id": "6", "partition_date": 20231231},
         {"event_id": "7", "user_id": None},
     )
-    users = profiles(spark, {}, {"username": "again"}, {"user_id": "user2"}, {"user_id": None})
+    users = profiles(spark, {}, {"username": "again"}, {"user_id": "nr-22"}, {"user_id": None})
     joined_first = (
         source.join(users.select("user_id"), "user_id")
         .where("partition_date >= 20240101")
@@ -286,7 +379,7 @@ def test_daily_activity_equals_joining_first(spark):
     )
     rows = sorted(map(tuple, daily_activity(source, users, 20240101).collect()))
     assert rows == sorted(map(tuple, joined_first.collect()))
-    assert rows == [("user1", 20240101, 6, 1), ("user2", 20240101, 1, 1)]
+    assert rows == [("nr-11", 20240101, 6, 1), ("nr-22", 20240101, 1, 1)]
 
 
 def test_cached_frames_can_be_reused(spark):

@@ -1,5 +1,6 @@
 """Scans and writes: validation, save modes, layout on disk."""
 
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
@@ -164,13 +165,34 @@ def test_compact_write_merges_and_splits(spark, tmp_path):
     write_compact(lineitem.repartition(50), "merged", path=str(tmp_path / "merged"))
     assert len(parquet_files(tmp_path / "merged")) == 1
     write_compact(
-        lineitem.coalesce(1), "split", target_file_mb=4, path=str(tmp_path / "split")
+        lineitem.repartition(8),
+        "split",
+        target_file_mb=1,
+        path=str(tmp_path / "split"),
+        shuffled_per_file_byte=2.0,
     )
-    sizes = parquet_files(tmp_path / "split")
-    assert 3 <= len(sizes) <= 16
-    assert max(sizes) <= 4 * 1024 * 1024
+    sizes = sorted(parquet_files(tmp_path / "split"))
+    assert 0.7 <= sizes[len(sizes) // 2] / 1024 / 1024 <= 1.2
     assert scan_table(spark, "split").count() == lineitem.count()
     assert [spark.conf.get(key) for key in settings] == before
     with pytest.raises(TableWriteError):
         write_compact(lineitem, "split", mode="error", path=str(tmp_path / "split"))
     assert [spark.conf.get(key) for key in settings] == before
+
+
+def test_compact_writes_in_two_threads_keep_their_own_targets(spark, tmp_path):
+    lineitem = table(spark, "/root/testdata/sf0.1", "lineitem").repartition(8)
+    lineitem.cache().count()
+
+    def write(target):
+        name = f"compact_{target}"
+        write_compact(lineitem, name, target_file_mb=target, path=str(tmp_path / name))
+        return len(parquet_files(tmp_path / name))
+
+    try:
+        alone = [write(target) for target in (1, 64)]
+        with ThreadPoolExecutor(2) as pool:
+            assert list(pool.map(write, (1, 64))) == alone
+    finally:
+        lineitem.unpersist()
+    assert alone[0] > alone[1] == 1
