@@ -3,11 +3,10 @@
 import shutil
 import tempfile
 from pathlib import Path
-from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from daybook.scratch import ensure_checkpoint_dir
+from daybook.scratch import new_path
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -29,7 +28,7 @@ def lower_ascii(text: Column) -> Column:
 
 def scratch_path(spark: SparkSession) -> str:
     """A new folder below the one that driver and executors share."""
-    return f"{ensure_checkpoint_dir(spark)}/daybook_llm_{uuid4().hex}"
+    return new_path(spark, "daybook_llm")
 
 
 _shipped: set[str] = set()
