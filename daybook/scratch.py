@@ -39,18 +39,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def _place(spark: SparkSession, prefix: str, is_table: bool) -> tuple[str, str]:
+    name = f"{prefix}_{uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark)}/{name}"
+    made = _made.setdefault(spark.sparkContext.applicationId, [])
+    made.append((path, name if is_table else None))
+    return name, path
+
+
 def new_path(spark: SparkSession, prefix: str = "daybook") -> str:
     """A path for scratch files, not made yet."""
-    path = f"{ensure_checkpoint_dir(spark)}/{prefix}_{uuid4().hex}"
-    _made.setdefault(spark.sparkContext.applicationId, []).append((path, None))
-    return path
+    return _place(spark, prefix, is_table=False)[1]
 
 
 def new_table(spark: SparkSession) -> dict[str, str]:
     """Name and path for a scratch table."""
-    path = new_path(spark)
-    name = path.rpartition("/")[2]
-    _made[spark.sparkContext.applicationId][-1] = (path, name)
+    name, path = _place(spark, "daybook", is_table=True)
     return {"name": name, "path": path}
 
 

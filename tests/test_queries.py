@@ -1,6 +1,9 @@
 """Every registered query against its SQL, row by row, over whole tables."""
 
 import os
+import subprocess
+import sys
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -107,3 +110,25 @@ def test_results_have_the_declared_types(spark):
             assert isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType))
         else:
             assert field.dataType == declared.dataType
+
+
+WITHOUT = """
+import sys
+
+class Absent:
+    def find_spec(self, name, path=None, target=None):
+        if name == {missing!r}:
+            raise ModuleNotFoundError(f"No module named {{name!r}}", name=name)
+
+sys.meta_path.insert(0, Absent())
+import __spark_entry__ as entry
+from daybook.queries import ORACLE_SQL, QUERIES
+assert entry.queries() == QUERIES and entry.oracle_sql() == ORACLE_SQL
+"""
+
+
+@pytest.mark.parametrize("missing", ["corpus_pipeline", "daybook.llm"])
+def test_the_entry_works_without_the_optional_part(missing):
+    root = Path(__file__).resolve().parents[1]
+    code = WITHOUT.format(missing=missing)
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
