@@ -17,19 +17,22 @@ the arcs. The library is used to be compared with, not to encode.
 
 import json
 import unicodedata
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from daybook.llm.common import column, ship_library
 
-# Cached words of a worker; the cache starts anew beyond that.
-MAX_CACHED_WORDS = 200_000
+# Words in either of the two generations of a worker's cache.
+MAX_CACHED_WORDS = 100_000
+# Texts whose ids are held at a time.
+_ROWS = 1000
 # No word longer than this is cached.
 MAX_CACHED_LENGTH = 100
 
@@ -43,6 +46,7 @@ class MergeAutomaton:
         self.first, self.last = [0] * size, [0] * size
         self.taken: dict[tuple[int, int], int] = {}
         self.ends = [False] * size
+        self.made = [True] * size
         used: set[int] = set()
         for label, token in vocab.items():
             self.ends[token] = label.endswith(suffix)
@@ -57,6 +61,8 @@ class MergeAutomaton:
         if self.rank[uv] >= 0:
             raise ValueError("merges must build each token once")
         self.rank[uv], self.first[uv], self.last[uv] = rank, u, v
+        # Where v never follows u, merging is of no use.
+        self.made[uv] = self.made[u] and self.made[v] and self._had_arc(u, v, rank)
         self.taken[u, v] = rank
 
     def _had_arc(self, state: int, label: int, before: int) -> bool:
@@ -77,7 +83,9 @@ class MergeAutomaton:
         return True
 
     def has_arc(self, state: int, label: int) -> bool:
-        row = self.table.setdefault(state, {})
+        row = self.table.get(state)
+        if row is None:
+            row = self.table[state] = {}
         known = row.get(label)
         if known is None:
             known = row[label] = self._had_arc(state, label, len(self.rank))
@@ -114,45 +122,62 @@ class WordCodec:
             if token >= len(self.labels):
                 self.labels += [""] * (token + 1 - len(self.labels))
             self.labels[token] = label
-        in_words = {k: v for k, v in vocab.items() if k not in self.special}
-        self.inner = {k: v for k, v in in_words.items() if not k.endswith(self.suffix)}
+        made = self.automaton.made
+        in_words = {k: v for k, v in vocab.items() if k not in self.special and made[v]}
+        inner = {k: v for k, v in in_words.items() if not k.endswith(self.suffix)}
         self.final = {k[: -len(self.suffix)]: v for k, v in in_words.items() if k.endswith(self.suffix)}
-        self.longest = max(map(len, chain(self.inner, self.final)))
-        self.prefixes = {k[:n] for k in self.inner for n in range(1, len(k) + 1)}
+        self.longest = max(map(len, chain(inner, self.final)))
+        # Labels, and -1 for what is only the beginning of one.
+        self.pieces = {k[:n]: -1 for k in inner for n in range(1, len(k))} | inner
         self.symbols = str.maketrans(_byte_symbols())
         marks = "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))
         self.marks = regex.compile(f"({marks})") if marks else None
         self.known = _Words(self)
 
     def encode_word(self, word: str) -> tuple[int, ...]:
-        """The one path through the automaton that this word labels."""
+        """The one path through the automaton that this word labels.
+
+        Long labels are tried first. A position is reached by one valid path at most, so
+        one from which the end can't be reached is never tried again.
+        """
         symbols = word.encode().decode("latin-1").translate(self.symbols)
         size = len(symbols)
-        token = [-1] * (size + 1)
-        start = [-1] * (size + 1)
+        whole = self.final.get(symbols)
+        if whole is not None:
+            return (whole,)
+        pieces, final, longest = self.pieces, self.final, self.longest
         has_arc = self.automaton.has_arc
-        for here in range(size):
-            state = token[here]
-            if here and state < 0:
-                continue
-            for end in range(here + 1, min(size, here + self.longest + 1)):
-                piece = symbols[here:end]
-                if piece not in self.prefixes:
+        path: list[int] = []
+        reached = [0]
+        hopeless: set[int] = set()
+        choices: list[list[tuple[int, int]]] = []
+        while reached[-1] < size:
+            here = reached[-1]
+            if len(choices) < len(reached):
+                found = []
+                for end in range(here + 1, min(size, here + longest + 1)):
+                    label = pieces.get(symbols[here:end])
+                    if label is None:
+                        break
+                    if label >= 0:
+                        found.append((end, label))
+                if size - here <= longest and (label := final.get(symbols[here:])) is not None:
+                    found.append((size, label))
+                choices.append(found)
+            open_choices = choices[-1]
+            while open_choices:
+                end, label = open_choices.pop()
+                if end not in hopeless and (not path or has_arc(path[-1], label)):
+                    path.append(label)
+                    reached.append(end)
                     break
-                label = self.inner.get(piece)
-                if label is not None and (here == 0 or has_arc(state, label)):
-                    token[end], start[end] = label, here
-            if size - here <= self.longest:
-                label = self.final.get(symbols[here:])
-                if label is not None and (here == 0 or has_arc(state, label)):
-                    token[size], start[size] = label, here
-        if token[size] < 0:
-            raise ValueError(f"no path for {word[:100]!r}: a symbol is not in the vocabulary")
-        path = []
-        while size:
-            path.append(token[size])
-            size = start[size]
-        return tuple(reversed(path))
+            else:
+                if not path:
+                    raise ValueError(f"no path for {word[:100]!r}: a symbol is not in the vocabulary")
+                choices.pop()
+                path.pop()
+                hopeless.add(reached.pop())
+        return tuple(path)
 
     def words(self, text: str) -> list[str]:
         """Normalised words: composed, in lower case character by character."""
@@ -177,13 +202,19 @@ class WordCodec:
 
 
 class _Words(dict):
+    """Paths of words. When full it starts anew, but words still in use come along."""
+
     def __init__(self, codec: WordCodec):
         self.codec = codec
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        path = self.codec.encode_word(word)
+        path = self.older.get(word)
+        if path is None:
+            path = self.codec.encode_word(word)
         if len(word) <= MAX_CACHED_LENGTH:
             if len(self) >= MAX_CACHED_WORDS:
+                self.older = dict(self)
                 self.clear()
             self[word] = path
         return path
@@ -202,7 +233,7 @@ class BpeCodec:
 
     def __init__(self, spark: SparkSession, vocabulary: str):
         with open(vocabulary, encoding="utf-8") as file:
-            model = spark.sparkContext.broadcast(file.read())
+            model = self.model = spark.sparkContext.broadcast(file.read())
         ship_library(spark)
 
         @F.pandas_udf("array<int>")
@@ -232,10 +263,27 @@ def encode_and_decode(
     """Per row: doc_id, ids, decoded.
 
     Whole texts are encoded; null counts as empty. Repeated rows are encoded each.
-    Other columns are ignored; an empty table gives an empty result.
+    Other columns are ignored; an empty table gives an empty result. Both directions run in
+    one pass: as functions of columns, ids that are used twice would be made twice.
     """
-    codec = BpeCodec(docs.sparkSession, vocabulary)
-    encoded = docs.select(
-        column(doc_id).alias("doc_id"), codec.encode(column(text)).alias("ids")
+    model = BpeCodec(docs.sparkSession, vocabulary).model
+    rows = docs.select(column(doc_id).alias("doc_id"), column(text).cast("string").alias("text"))
+    schema = T.StructType(
+        [
+            T.StructField("doc_id", rows.schema["doc_id"].dataType),
+            T.StructField("ids", T.ArrayType(T.IntegerType())),
+            T.StructField("decoded", T.StringType()),
+        ]
     )
-    return encoded.withColumn("decoded", codec.decode(F.col("ids")))
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(model.value)
+        for batch in batches:
+            for start in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(start, _ROWS)
+                ids = [codec.encode(value or "") for value in part["text"].to_pylist()]
+                texts = [codec.decode(some.tolist()) for some in ids]
+                columns = [part["doc_id"], pa.array(ids, pa.list_(pa.int32())), pa.array(texts)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"])
+
+    return rows.mapInArrow(encoded, schema)
