@@ -118,7 +118,7 @@ def test_ranking_leaves_columns_of_any_name_alone(spark, rank):
     assert tuple(full.select(*HELPERS).distinct().first()) == tuple(f"own {n}" for n in HELPERS)
 
 
-@pytest.mark.parametrize("name", HELPERS)
+@pytest.mark.parametrize("name", ["_rank", "row", "key", "at", "chunk", "attribute", "value", "k0", "first"])
 def test_keys_and_attributes_may_have_any_name(spark, name):
     df = spark.createDataFrame([("a", "x"), ("a", "x"), ("a", "y"), (None, None)], f"`{name}` string, v string")
     found = most_common_values(df, [name], ["v"])
