@@ -30,7 +30,9 @@ THRESHOLD = 0.5
 
 _WORD_BUCKETS = 256
 _LANGUAGES, _SOURCES = 8, 32
-_MAX_CACHED = 500_000
+_MAX_CACHED = 100_000
+# Documents whose features are held at a time.
+_ROWS = 500
 
 
 class _Buckets(dict):
@@ -244,12 +246,13 @@ def fit_quality(
 
     def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch):
-                text, page = _views(batch)
+            for start in range(0, len(batch), _ROWS):
+                part = batch[start : start + _ROWS]
+                text, page = _views(part)
                 yield pd.DataFrame(
                     {
-                        "doc_id": batch["doc_id"].astype(str),
-                        "label": batch["label"],
+                        "doc_id": part["doc_id"].astype(str),
+                        "label": part["label"],
                         "text": list(text.astype(np.float32)),
                         "page": list(page.astype(np.float32)),
                     }
@@ -280,8 +283,12 @@ def score_quality(docs: DataFrame, model: CoTrained, doc_id: str = "doc_id") ->
     @F.pandas_udf("p_text double, p_page double, score double")
     def scores(text: pd.Series, lang: pd.Series, source: pd.Series, n_chars: pd.Series) -> pd.DataFrame:
         batch = pd.DataFrame({"text": text, "lang": lang, "source": source, "n_chars": n_chars})
-        found = model.score(*_views(batch)) if len(batch) else ([], [], [])
-        return pd.DataFrame(dict(zip(("p_text", "p_page", "score"), found)))
+        names = ("p_text", "p_page", "score")
+        found = [pd.DataFrame({name: [] for name in names}, dtype=float)]
+        for start in range(0, len(batch), _ROWS):
+            scored = model.score(*_views(batch[start : start + _ROWS]))
+            found.append(pd.DataFrame(dict(zip(names, scored))))
+        return pd.concat(found, ignore_index=True)
 
     inputs = {
         name: (column(name) if name in docs.columns else F.lit(None)).cast(kind)
@@ -323,7 +330,10 @@ def keep_good(
 ) -> DataFrame:
     """The rows of docs that are not rejected, with all their columns."""
     model = fit_quality(docs, labels, doc_id, label)
-    wanted = [column(c) for c in ("text", "lang", "source", "n_chars") if c in docs.columns]
-    scored = score_quality(docs.select(packed(docs.columns).alias("row"), *wanted), model)
-    good = scored.where(F.col(f"{SCORES}.score") >= threshold)
-    return good.select(*unpacked(docs.columns, "row"))
+    read = [c for c in ("text", "lang", "source", "n_chars") if c in docs.columns]
+    others = [c for c in docs.columns if c not in read]
+    # The text travels once; only what is not read is packed.
+    rows = docs.select(packed(others).alias("row"), *map(column, read))
+    good = score_quality(rows, model).where(F.col(f"{SCORES}.score") >= threshold)
+    restored = dict(zip(others, unpacked(others, "row")))
+    return good.select(*(restored.get(c, column(c)) for c in docs.columns))
