@@ -38,24 +38,29 @@ _RUN = 64
 _FEW = 32
 
 
-def fingerprint(text: str, words: int = SHINGLE_WORDS) -> int:
-    """Bits set in more than half of the hashes of the text's shingles.
+def shingle_hashes(text: str, words: int) -> list[int]:
+    """The hash of each of the text's shingles, in order.
 
     A-Z are lower-cased; words are parted by ASCII white space; fewer words than a
-    shingle takes are one shingle; no words give 0.
+    shingle takes are one shingle; no words give none.
     """
     parts = text.encode().lower().split()
     if not parts:
-        return 0
+        return []
     joined = b" ".join(parts)
     ends = np.cumsum([len(part) + 1 for part in parts]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     width = min(words, len(parts))
     digest = xxhash.xxh64_intdigest
-    hashes = [
+    return [
         digest(joined[a:b], SEED)
         for a, b in zip(starts[: len(parts) - width + 1].tolist(), ends[width - 1 :].tolist())
     ]
+
+
+def fingerprint(text: str, words: int = SHINGLE_WORDS) -> int:
+    """Bits set in more than half of the hashes of the text's shingles; 0 without words."""
+    hashes = shingle_hashes(text, words)
     counts = np.zeros(BITS, np.int64)
     for block in range(0, len(hashes), 65536):  # bounds the memory for long texts
         some = np.array(hashes[block : block + 65536], dtype=">u8")
