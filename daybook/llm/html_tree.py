@@ -54,7 +54,11 @@ ASIDE = frozenset(
 )
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
-_TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
+# Quotes delimit a value directly after "=" only. One that is never closed is read as an
+# unquoted value, so that the tag ends at the next ">".
+_TAG = re.compile(
+    r"""<(/?)([A-Za-z][^\s/>]*+)((?:=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+)|[^>=])*+)>"""
+)
 _ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
 _NAME_PARTS = re.compile(r"[^a-z]+")
 
