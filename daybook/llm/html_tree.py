@@ -43,7 +43,7 @@ DROPPED = frozenset(
     "textarea dialog menu svg canvas object audio video map title input search datalist "
     "xmp noembed noframes".split()
 )
-# Words of a class, id or role that name something beside the article.
+# Names in a class, id or role of something beside the article. Names count whole.
 ASIDE = frozenset(
     "ad ads advert adverts advertisement advertisements advertising adsense sponsor sponsored "
     "promo promotion promoted banner cookie cookies consent gdpr notice notices popup modal overlay "
@@ -52,6 +52,18 @@ ASIDE = frozenset(
     "share sharing social related recommended newsletter subscribe subscription signup login "
     "pagination pager toolbar widget widgets skip".split()
 )
+# Or with a word of place or form before or after: top-menu, comment-list.
+_PLACES = "top bottom left right upper lower inner outer site page".split()
+_FORMS = "list item items box block bar area section wrap wrapper container form links".split()
+ASIDE |= {
+    f"{before}{mark}{after}"
+    for name in ASIDE
+    for before, after in [*((p, name) for p in _PLACES), *((name, f) for f in _FORMS)]
+    for mark in "-_"
+}
+# An article of this name is a reader's. No other names are taken of elements that hold the article.
+READERS = frozenset(("comment", "comments", "reply", "replies"))
+HOLDERS = frozenset(("html", "body", "main"))
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
 # Quotes delimit a value directly after "=" only. One that is never closed is read as an
@@ -70,6 +82,9 @@ class Node:
     tag: str
     names: tuple[str, ...] = ()
     parts: list = field(default_factory=list)
+    # Its class, id and role names as they stand, and whether it has an article or main below it.
+    tokens: frozenset[str] = frozenset()
+    holds_article: bool = False
 
     @property
     def label(self) -> str:
@@ -77,17 +92,23 @@ class Node:
 
     @property
     def beside_article(self) -> bool:
-        return self.tag in DROPPED or not ASIDE.isdisjoint(self.names)
+        if self.tag in DROPPED:
+            return True
+        if self.tag in HOLDERS or self.holds_article:
+            return False
+        return not (READERS if self.tag == "article" else ASIDE).isdisjoint(self.tokens)
 
 
-def _names(attributes: str) -> tuple[str, ...]:
+def _tokens(attributes: str) -> frozenset[str]:
     if "=" not in attributes:
-        return ()
-    found = set()
-    for _, value in _ATTRIBUTE.findall(attributes):
-        found.update(_NAME_PARTS.split(value.strip("\"'").lower()))
-    found.discard("")
-    return tuple(sorted(found))
+        return frozenset()
+    values = [value.strip("\"'").lower() for _, value in _ATTRIBUTE.findall(attributes)]
+    return frozenset(token for value in values for token in value.split())
+
+
+def _names(tokens: frozenset[str]) -> tuple[str, ...]:
+    """The letter runs of names: numbers in them differ from page to page."""
+    return tuple(sorted({part for token in tokens for part in _NAME_PARTS.split(token)} - {""}))
 
 
 def parse(page: str) -> Node:
@@ -172,12 +193,15 @@ def parse(page: str) -> Node:
             elif name == "br":
                 nodes[-1].parts.append(" ")
             continue
-        names = _names(attributes)
-        if name in INLINE and ASIDE.isdisjoint(names):
+        tokens = _tokens(attributes)
+        if name in INLINE and ASIDE.isdisjoint(tokens):
             node = nodes[-1]
         else:
-            node = Node(name, names)
+            node = Node(name, _names(tokens), tokens=tokens)
             nodes[-1].parts.append(node)
+            if name in ("article", "main") and not node.beside_article:
+                for above in nodes:
+                    above.holds_article = True
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.IGNORECASE).search(page, at)
             if end is None:

@@ -18,3 +18,19 @@ from daybook.llm import html_extract
 )
 def test_quotes_delimit_after_an_equals_sign_only(page, blocks):
     assert html_extract.extract(page) == "\n\n".join(blocks)
+
+
+@pytest.mark.parametrize(
+    ("page", "blocks"),
+    [
+        ("<html class=no-cookie><body class='has-sidebar'><p>a</p>", ["a"]),
+        ("<body class=sidebar><div class=sidebar>no</div><p>a</p>", ["a"]),
+        ("<article class='post related'><p>a</p></article>", ["a"]),
+        ("<div id='content-sidebar-wrap'><article>a</article></div>", ["a"]),
+        ("<div class=widget><main>a</main></div>", ["a"]),
+        ("<article>a<section class='social-sciences'>b</section><div class='related'>no</div></article>", ["a", "b"]),
+        ("<article>a<div class=comments><article class=comment>no</article></div></article>", ["a"]),
+    ],
+)
+def test_names_of_parts_that_hold_the_article_do_not_drop_it(page, blocks):
+    assert html_extract.extract(page) == "\n\n".join(blocks)
