@@ -1,9 +1,9 @@
 """Main text of web pages by wrapper induction over the pages of a host.
 
 Every page is folded into a tree of its blocks and aligned by simple tree matching with
-one reference page of its host. Over all the host's pages, a text that occurs at the same
-node of every one is template; the other texts of the node are its varying slot, the
-content. A host needs MIN_PAGES pages of different content before its constant texts
+one reference page of its host. Whole trees are aligned, menus and footers too. A text that
+occurs at the same node of at least SHARE of the host's pages is template; the other
+texts of the node are its varying slot, the content. A host needs MIN_PAGES pages of different content before its constant texts
 count as template, so a line that a few copies share stays.
 
 Whether or not a host has a template, parts that pages mark as standing beside the
@@ -39,6 +39,9 @@ from daybook.llm.url_filter import split_url
 
 # Pages of different content that must agree before a text counts as template.
 MIN_PAGES = 8
+# Of a host's pages of different content, those that must have a text of the template. Pages
+# without any text count, as one.
+SHARE = 0.95
 _BATCH = 256
 
 
@@ -92,13 +95,6 @@ def content_blocks(root: Node, template: frozenset[tuple[int, int]] = frozenset(
     return found
 
 
-def tree_of(page: str) -> tuple[Node, Shape]:
-    """The page, and the folded tree of its main regions."""
-    root = parse(page)
-    regions = Node("#page", parts=list(main_regions(root)))
-    return root, fold(regions)
-
-
 def extract(page: str | None, wrapper: str | None = None) -> str:
     """The main text, blocks joined by two line breaks."""
     root = parse(page or "")
@@ -106,8 +102,7 @@ def extract(page: str | None, wrapper: str | None = None) -> str:
     if wrapper is not None:
         reference, constant = json.loads(wrapper)
         constant = {(node, text) for node, text in constant}
-        shape = fold(Node("#page", parts=list(main_regions(root))))
-        for number, matched in align(load(reference), shape):
+        for number, matched in align(load(reference), fold(root)):
             for text in set(matched.texts):
                 if (number, text) in constant:
                     template |= {(id(node), text) for node in matched.nodes}
@@ -126,7 +121,7 @@ def induce_wrappers(pages: DataFrame, key: str, url: str, html: str) -> DataFram
         for batch in batches:
             rows = []
             for link, page in zip(batch["url"], batch["html"]):
-                _, shape = tree_of(page or "")
+                shape = fold(parse(page or ""))
                 texts: list = []
 
                 def collect(node: Shape) -> list:
@@ -134,21 +129,28 @@ def induce_wrappers(pages: DataFrame, key: str, url: str, html: str) -> DataFram
                     return [node.label, [collect(c) for c in node.children], sorted(set(node.texts))]
 
                 tree = collect(shape)
-                rows.append((_host(link), hash_text(json.dumps(texts)), json.dumps(tree)))
-            yield pd.DataFrame(rows, columns=["host", "content", "tree"])
+                outline = hash_text(json.dumps(dump(shape)))
+                rows.append((_host(link), hash_text(json.dumps(texts)), outline, json.dumps(tree)))
+            yield pd.DataFrame(rows, columns=["host", "content", "outline", "tree"])
 
     # Pages without key or of one content would only repeat each other.
     read = pages.select(
         column(url).cast("string").alias("url"), column(html).cast("string").alias("html")
     )
     outlined = stored(
-        read.mapInPandas(outlines, "host string, content long, tree string")
+        read.mapInPandas(outlines, "host string, content long, outline long, tree string")
         .groupBy("host", "content")
-        .agg(F.min("tree").alias("tree"))
+        .agg(F.min("tree").alias("tree"), F.min_by("outline", "tree").alias("outline"))
     )
+    # The reference has the outline that most pages have, so no odd page is chosen.
     hosts = stored(
-        outlined.groupBy("host")
-        .agg(F.count("*").alias("pages"), F.min_by("tree", "content").alias("reference"))
+        outlined.groupBy("host", "outline")
+        .agg(F.count("*").alias("alike"), F.min_by("tree", "content").alias("tree"))
+        .groupBy("host")
+        .agg(
+            F.sum("alike").alias("pages"),
+            F.max_by("tree", F.struct("alike", "outline")).alias("reference"),
+        )
         .where(F.col("pages") >= MIN_PAGES)
     )
 
@@ -157,7 +159,7 @@ def induce_wrappers(pages: DataFrame, key: str, url: str, html: str) -> DataFram
             rows = []
             for host, tree, reference in zip(batch["host"], batch["tree"], batch["reference"]):
                 for number, matched in align(_shape(reference), _shape(tree)):
-                    rows += [(host, number, text) for text in matched.texts]
+                    rows += [(host, number, text) for text in set(matched.texts)]
             yield pd.DataFrame(rows, columns=["host", "node", "text"])
 
     # Only the pages of hosts that can have a template; Spark splits a hot host.
@@ -167,8 +169,10 @@ def induce_wrappers(pages: DataFrame, key: str, url: str, html: str) -> DataFram
         .groupBy("host", "node", "text")
         .agg(F.count("*").alias("found"))
     )
-    constant = counted.join(hosts.select("host", "pages"), "host").where("found = pages")
-    # A page holds all of its host's constant texts, so the list is no longer than a page.
+    constant = counted.join(hosts.select("host", "pages"), "host").where(
+        F.col("found") >= F.col("pages") * SHARE
+    )
+    # A page holds SHARE of its host's constant texts on average, so the list is little longer.
     lists = constant.groupBy("host").agg(
         F.sort_array(F.collect_list(F.struct("node", "text"))).alias("constant")
     )

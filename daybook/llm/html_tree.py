@@ -34,9 +34,6 @@ CLOSES = {
 }
 # Of elements nested deeper only the text is read, as that of the last one above.
 MAX_DEPTH = 256
-# Beyond so many pairs of children, alignment goes by order alone.
-MAX_PAIRS = 40_000
-
 # Never part of an article.
 DROPPED = frozenset(
     "head nav footer aside form script style noscript iframe template button select option "
@@ -256,13 +253,13 @@ class Shape:
 
 
 def fold(node: Node) -> Shape:
-    """The folded tree below a node, without what never holds article text."""
+    """The folded tree below a node: all of it, menus and adverts too."""
     shape = Shape(node.label, nodes=[node])
     by_structure: dict[tuple, Shape] = {}
     for part in blocks_of(node):
         if isinstance(part, str):
             shape.texts.append(hash_text(part))
-        elif not part.beside_article:
+        else:
             child = fold(part)
             same = by_structure.setdefault(child.signature(), child)
             if same is child:
@@ -327,11 +324,18 @@ def align(reference: Shape, page: Shape) -> list[tuple[int, Shape]]:
     def pair(a: Shape, b: Shape) -> None:
         found.append((numbers[id(a)], b))
         left, right = a.children, b.children
-        if len(left) * len(right) > MAX_PAIRS:
-            for x, y in zip(left, right):
-                if x.label == y.label:
-                    pair(x, y)
-            return
+        # Pairing equal first or last children is always part of a best alignment, so
+        # only what differs between them takes a table.
+        first, last = 0, 0
+        shorter = min(len(left), len(right))
+        while first < shorter and left[first].signature() == right[first].signature():
+            first += 1
+        while last < shorter - first and left[-1 - last].signature() == right[-1 - last].signature():
+            last += 1
+        for x, y in zip(left[:first], right[:first]):
+            pair(x, y)
+        ends = list(zip(left[len(left) - last :], right[len(right) - last :]))
+        left, right = left[first : len(left) - last], right[first : len(right) - last]
         table = _table(left, right, known)
         i, j = len(left), len(right)
         pairs = []
@@ -343,7 +347,7 @@ def align(reference: Shape, page: Shape) -> list[tuple[int, Shape]]:
             else:
                 i, j = i - 1, j - 1
                 pairs.append((left[i], right[j]))
-        for x, y in reversed(pairs):
+        for x, y in [*reversed(pairs), *ends]:
             pair(x, y)
 
     if reference.label == page.label:

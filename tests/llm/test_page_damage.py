@@ -2,7 +2,7 @@
 
 import pytest
 
-from daybook.llm import html_extract
+from daybook.llm import html_extract, html_tree
 
 
 @pytest.mark.parametrize(
@@ -34,3 +34,20 @@ def test_quotes_delimit_after_an_equals_sign_only(page, blocks):
 )
 def test_names_of_parts_that_hold_the_article_do_not_drop_it(page, blocks):
     assert html_extract.extract(page) == "\n\n".join(blocks)
+
+
+def test_a_few_odd_pages_leave_the_host_its_template(spark):
+    page = "<body><ul><li>Motto {1}</ul><div><p>Our motto</p><p>story {0}</p></div><ul><li>Read on</ul></body>"
+    rows = [(i, f"https://a.example.org/{i}", page.format(i, "")) for i in range(40)]
+    rows += [(40, "https://a.example.org/none", None), (41, "https://a.example.org/odd", "<table><tr><td>odd")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in html_extract.extract_pages(df).collect()}
+    assert found[7] == "story 7" and found[41] == "odd" and found[40] == ""
+
+
+def test_whole_pages_are_aligned_exactly_at_any_size():
+    fold = lambda page: html_tree.fold(html_tree.parse(page))
+    assert [c.label for c in fold("<nav>a</nav><p>b").children] == ["nav", "p"]
+    many = [f"<div class=c{chr(97 + i % 26)}{chr(97 + i // 26)}>x</div>" for i in range(300)]
+    pairs = html_tree.align(fold("".join(many)), fold("<h1>new</h1>" + "".join(many[:150] + ["<p>y"] + many[150:])))
+    assert len(pairs) == 301
