@@ -169,10 +169,12 @@ class Transducer:
 
 
 _WORD = "|".join(DIGIT_WORDS)
-# A single digit word is a digit only beside a spelled dot.
+# A single digit word is a digit only beside a spelled dot or digits.
 _SPELLED = (
     rf"\b(?:{_WORD})(?:[ \t]*[-,]?[ \t]*(?:{_WORD})\b)+"
     rf"|\b(?:{_WORD})(?=\s+dot\s)|(?<=\sdot\s)(?:{_WORD})\b"
+    rf"|(?:(?<=[0-9])|(?<=[0-9][ \t.,()-]))(?:{_WORD})(?![A-Za-z])"
+    rf"|(?<![A-Za-z])(?:{_WORD})(?=[ \t.,()-]?[0-9])"
 )
 _AT = r"\s{0,3}[\[({<]\s{0,3}(?:at|@)\s{0,3}[\])}>]\s{0,3}"
 _DOT = r"\s{0,3}[\[({<]\s{0,3}(?:dot|\.)\s{0,3}[\])}>]\s{0,3}|(?<=[A-Za-z0-9])\s{1,3}dot\s{1,3}(?=[A-Za-z0-9])"
@@ -204,6 +206,7 @@ _CHAIN = [
 ]
 _BRACKETS = re.compile(r"[\[({<]\s{0,3}(?:at|@|dot|\.)\s{0,3}[\])}>]")
 _TWO_DIGITS = re.compile(rf"(?:{_WORD})[ \t]*[-,]?[ \t]*(?:{_WORD})")
+_BY_DIGITS = re.compile(rf"[0-9][ \t.,()-]?(?:{_WORD})|(?:{_WORD})[ \t.,()-]?[0-9]")
 
 
 def has_signs(text: str) -> bool:
@@ -216,6 +219,7 @@ def has_signs(text: str) -> bool:
         or "plus" in lowered
         or _BRACKETS.search(lowered) is not None
         or _TWO_DIGITS.search(lowered) is not None
+        or _BY_DIGITS.search(lowered) is not None
     )
 
 
