@@ -35,8 +35,8 @@ RECORD_SCHEMA = (
 )
 
 
-def _urn(kind: str, key: str | None, digest: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{kind} {key} {digest}')}>"
+def _urn(kind: str, key: str | None, uri: str | None, digest: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, repr((kind, key, uri, digest)))}>"
 
 
 def payload_digest(payload: bytes) -> str:
@@ -56,13 +56,19 @@ def _one_line(value: str | None) -> str | None:
 
 
 def capture_records(
-    key: str | None, uri: str | None, html: str, first_key: str | None, is_first: bool, date: str
+    key: str | None,
+    uri: str | None,
+    html: str,
+    first_key: str | None,
+    first_uri: str | None,
+    is_first: bool,
+    date: str,
 ) -> Iterator[str]:
-    """The three records of a page; a revisit refers to the response of first_key."""
+    """The three records of a page; a revisit refers to the response of first_key and first_uri."""
     payload = html.encode()
     content, digest = hashlib.sha256(payload).hexdigest(), payload_digest(payload)
     uri = _one_line(uri)
-    own = _urn("response", key, content)
+    own = _urn("response", key, uri, content)
     head = _BREAK.join(
         ["HTTP/1.1 200 OK", "Content-Type: text/html; charset=utf-8"]
         + [f"Content-Length: {len(payload)}", "", ""]
@@ -73,18 +79,19 @@ def capture_records(
     if is_first:
         yield _record([("WARC-Type", "response"), *described, http], head + html)
     else:
-        refers = [("WARC-Refers-To", _urn("response", first_key, content)), ("WARC-Profile", _PROFILE)]
+        original = _urn("response", first_key, _one_line(first_uri), content)
+        refers = [("WARC-Refers-To", original), ("WARC-Profile", _PROFILE)]
         yield _record([("WARC-Type", "revisit"), *described, *refers, http], head)
     together = [*common, ("WARC-Concurrent-To", own)]
     place = (uri or "").partition("://")[2]
     host, _, path = place.partition("/")
     yield _record(
-        [("WARC-Type", "request"), ("WARC-Record-ID", _urn("request", key, content)), *together]
+        [("WARC-Type", "request"), ("WARC-Record-ID", _urn("request", key, uri, content)), *together]
         + [("Content-Type", "application/http; msgtype=request")],
         _BREAK.join([f"GET /{path} HTTP/1.1", f"Host: {host}", "", ""]),
     )
     yield _record(
-        [("WARC-Type", "metadata"), ("WARC-Record-ID", _urn("metadata", key, content)), *together]
+        [("WARC-Type", "metadata"), ("WARC-Record-ID", _urn("metadata", key, uri, content)), *together]
         + [("Content-Type", "application/warc-fields")],
         "" if key is None else f"page-key: {key}{_BREAK}",
     )
@@ -114,15 +121,17 @@ def write_warc(
     ).withColumn("content", F.unhex(F.sha2("html", 256)))
     # Only digests and keys are grouped; the join then lets Spark split a payload
     # that very many pages share.
-    first = rows.groupBy("content").agg(F.min("key").alias("first"))
-    is_first = F.col("key").eqNullSafe(F.col("first")) | (
+    smallest = F.min(F.struct(F.col("key").isNull().alias("no_key"), "key", "url"))
+    first = rows.groupBy("content").agg(smallest.alias("first"))
+    is_first = F.col("key").eqNullSafe(F.col("first.key")) | (
         F.octet_length("html") < min_revisit_bytes
     )
     planned = rows.join(first, "content").select(
         F.col("key").cast("string").alias("key"),
         "url",
         "html",
-        F.col("first").cast("string").alias("first"),
+        F.col("first.key").cast("string").alias("first"),
+        F.col("first.url").alias("first_url"),
         is_first.alias("is_first"),
     )
 
@@ -136,7 +145,10 @@ def write_warc(
                 name = None if pd.isna(row.key) else row.key
                 first_name = None if pd.isna(row.first) else row.first
                 uri = None if pd.isna(row.url) else row.url
-                found += capture_records(name, uri, row.html, first_name, row.is_first, date)
+                first_uri = None if pd.isna(row.first_url) else row.first_url
+                found += capture_records(
+                    name, uri, row.html, first_name, first_uri, row.is_first, date
+                )
                 size += len(row.html)
                 if size > _BATCH_BYTES:
                     yield pd.DataFrame({"value": found})
@@ -263,7 +275,7 @@ def warc_roundtrip(
 
     Columns: the key, payload_bytes, payload_digest, record_type, and refers_to,
     the key of the response that a revisit repeats. A row that is repeated
-    exactly (key and payload) is one capture.
+    exactly (key, url and payload) is one capture.
     """
     write_warc(pages, path, key, url, html, **options)
     kind = pages.select(column(key)).schema[0].dataType
