@@ -12,9 +12,9 @@ from daybook.llm.bpe import encode_and_decode
 from daybook.llm.common import stored
 from daybook.llm.decontamination import drop_contaminated
 from daybook.llm.exact_dedup import drop_exact_copies
-from daybook.llm.near_copies import drop_near_copies
 from daybook.llm.quality import keep_good
 from daybook.llm.queries import VOCABULARY, token_digests
+from daybook.llm.simhash import drop_near_duplicates
 from daybook.queries.inputs import table
 
 
@@ -29,11 +29,11 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One of each group that near copies connect: that with the smallest doc_id.
+    """One of each group that SimHash links connect: that with the smallest doc_id.
 
-    Shingles of five words, Jaccard similarity of 0.8 or more, confirmed on the texts.
+    Shingles of four words and at most four differing bits, as op5_simhash.
     """
-    return drop_near_copies(docs)
+    return drop_near_duplicates(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
