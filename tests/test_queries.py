@@ -127,7 +127,7 @@ assert entry.queries() == QUERIES and entry.oracle_sql() == ORACLE_SQL
 """
 
 
-@pytest.mark.parametrize("missing", ["corpus_pipeline", "daybook.llm"])
+@pytest.mark.parametrize("missing", ["corpus_pipeline", "daybook.llm", "public_tokenizers"])
 def test_the_entry_works_without_the_optional_part(missing):
     root = Path(__file__).resolve().parents[1]
     code = WITHOUT.format(missing=missing)
