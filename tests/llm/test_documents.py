@@ -444,6 +444,54 @@ def test_held_out_accuracy_on_the_test_tables(spark):
     assert right / found.count() > 0.97
 
 
+def _passes(rows, labels):
+    """The sums of a function's arrays over all rows, in this process."""
+    views = quality._views(quality.pd.DataFrame(rows, columns=["id", "text", "lang", "source", "n_chars"]))
+    held = np.array([row[0] in labels[1] for row in rows])
+    known = np.array([labels[0].get(row[0], -1) for row in rows])
+    batch = quality.Batch({name: x.astype(float) for name, x in views.items()}, known, held)
+    return (lambda function: {n: np.rint(v * 2.0**20) / 2.0**20 for n, v in function(batch)}), batch
+
+
+def test_quality_fit_equals_one_in_a_single_process(spark):
+    rows, labels = quality_tables(spark, 400)
+    docs = frame(spark, rows)
+    features = quality.featured(docs, labels, "doc_id", "quality").toPandas()
+    known = {r.doc_id: r.label for r in features.itertuples() if r.label >= 0}
+    held = {r.doc_id for r in features.itertuples() if r.held}
+    assert 20 < len(held) < 120 and held <= known.keys()
+    summed, batch = _passes(rows, (known, held))
+    expected, found = quality.co_train(summed), quality.fit_quality(docs, labels)
+    for part in ("text", "page", "text_calibration", "page_calibration", "combined"):
+        for name in ("mean", "scale", "weights", "bias"):
+            np.testing.assert_allclose(
+                getattr(getattr(found, part), name), getattr(getattr(expected, part), name), rtol=2e-3, atol=2e-3
+            )
+
+
+def test_each_source_gets_labels_from_the_other_view(spark):
+    """The text labels documents of a source that no label covers, and the page view learns from them."""
+    rows, labels = quality_tables(spark, 600)
+    rows = [(*row[:3], "unseen" if row[0] % 10 == 2 else row[3], row[4]) for row in rows]
+    known = {r.doc_id: r.quality for r in labels.collect() if r.quality is not None and r.doc_id}
+    summed, batch = _passes(rows, (known, {i for i in known if zlib.crc32(b"%d" % i) % 3 == 0}))
+    history = []
+
+    def watching(function):
+        cells = dict(zip(function.__code__.co_freevars, function.__closure__ or ()))
+        if "history" in cells:
+            history[:] = cells["history"].cell_contents
+        return summed(function)
+
+    quality.co_train(watching)
+    assert len(history) == quality.ROUNDS
+    given = quality.given_labels(batch, history, "page")
+    unseen = np.array([row[3] == "unseen" for row in rows])
+    assert (given[unseen] >= 0).any() and (given[batch.label >= 0] == -1).all()
+    good = np.array([(row[0] - 1000) % 3 > 0 for row in rows])
+    assert (given[given >= 0] == good[given >= 0]).all()
+
+
 # All of them
 
 
