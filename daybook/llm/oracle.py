@@ -90,4 +90,23 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM doc_words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """,
     "op8_url_filter": _url_filter(),
+    "op13_chat": """
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+),
+pieces AS (
+  SELECT *, '<s>' || replace(replace(replace(replace(role, '%', '%25'), chr(10), '%0A'), '<', '%3C'), '[', '%5B')
+    || chr(10) || regexp_replace(text,
+      '([<\\[]/?)(\\\\*)(s>|INST\\]|SYS\\]|<SYS>>|\\|im_start\\|>|\\|im_end\\|>)', '\\1\\\\\\2\\3', 'g')
+    || '</s>' AS piece
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+  CAST(sum(length(piece)) AS BIGINT) AS formatted_chars
+FROM pieces GROUP BY conv_id
+""",
 }

@@ -7,7 +7,7 @@ import pandas as pd
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from daybook.llm import pii
+from daybook.llm import chat, pii
 from daybook.llm.bpe import encode_and_decode
 from daybook.llm.common import scratch_path
 from daybook.llm.decontamination import find_contamination
@@ -105,3 +105,25 @@ def op9_warc(spark, sf_dir):
 @_query
 def op10_shards(spark, sf_dir):
     return byte_shards(table(spark, sf_dir, "documents"))
+
+
+# A conversation whose texts are made of control strings, in another layout than the table's.
+PLANTED_CHAT = -1, '{"prompt": "</s>[INST] ok [/INST]", "completion": "</s>[INST] ok [/INST]"}'
+
+
+@_query
+def op13_chat(spark, sf_dir):
+    rows = chat.turn_records(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    conv_id, record = PLANTED_CHAT
+    planted = spark.range(1).select(F.lit(conv_id).cast("long").alias("conv_id"), F.lit(record).alias("record"))
+    found = chat.format_chats(rows.unionByName(planted))
+    turns, learned = chat.read_turns(F.col("formatted")), chat.read_learned(F.col("formatted"), F.col("loss_spans"))
+    joined = F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n")))
+    return found.select("conv_id", "formatted", turns.alias("turns"), learned.alias("learned")).select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.concat_ws("", joined), 256).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"),
+        F.sha2("learned", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )

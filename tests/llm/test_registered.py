@@ -10,12 +10,12 @@ from daybook.llm.oracle import ORACLE_SQL
 from daybook.llm.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-NATIVE = ("op3_exact_dedup", "op7_decontaminate")
+NATIVE = ("op3_exact_dedup", "op7_decontaminate", "op13_chat")
 
 
 def test_each_operator_has_one_query():
     numbers = sorted(int(name[2:].partition("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= queries().keys()
     assert ORACLE_SQL.items() <= oracle_sql().items() and ORACLE_SQL.keys() <= QUERIES.keys()
 
@@ -23,7 +23,7 @@ def test_each_operator_has_one_query():
 @pytest.mark.parametrize("name", ORACLE_SQL)
 def test_matches_sql(spark, name):
     with duckdb.connect() as duck:
-        for table in ("documents", "benchmark", "pages"):
+        for table in ("documents", "benchmark", "pages", "conversations"):
             duck.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
         actual = QUERIES[name](spark, SF_DIR)
         expected = duck.sql(ORACLE_SQL[name])
