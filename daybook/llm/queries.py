@@ -16,6 +16,7 @@ from daybook.llm.html_extract import extract_pages
 from daybook.llm.quality import classify
 from daybook.llm.sharding import byte_shards
 from daybook.llm.simhash import near_duplicates
+from daybook.llm.spelling import spelling_variants
 from daybook.llm.url_filter import judge_urls
 from daybook.llm.warc import warc_roundtrip
 from daybook.queries.inputs import table
@@ -127,3 +128,8 @@ def op13_chat(spark, sf_dir):
         F.sha2("learned", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@_query
+def op12_spelling(spark, sf_dir):
+    return spelling_variants(table(spark, sf_dir, "documents"))
