@@ -90,6 +90,35 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM doc_words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """,
     "op8_url_filter": _url_filter(),
+    "op11_lexical": f"""
+WITH docs AS (
+  SELECT * FROM (SELECT row_number() OVER () AS row, doc_id, {_WORDS} AS words FROM documents)
+  WHERE len(words) > 0
+),
+corpus AS (SELECT count(*) AS n_docs, sum(len(words))::BIGINT AS n_terms FROM docs),
+tfs AS (
+  SELECT row, doc_id, n, term, count(*) AS tf
+  FROM (SELECT row, doc_id, len(words) AS n, unnest(words) AS term FROM docs)
+  GROUP BY ALL
+),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tfs GROUP BY term), corpus
+),
+items AS (
+  SELECT DISTINCT row, item_id, unnest(words) AS term
+  FROM (SELECT row_number() OVER () AS row, item_id, {_WORDS} AS words FROM benchmark)
+),
+scored AS (
+  SELECT items.row AS item, item_id, doc_id,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM items JOIN weights USING (term) JOIN tfs USING (term), corpus
+  GROUP BY items.row, item_id, tfs.row, doc_id
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 50
+""",
     "op13_chat": """
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

@@ -13,6 +13,7 @@ from daybook.llm.common import scratch_path
 from daybook.llm.decontamination import find_contamination
 from daybook.llm.exact_dedup import exact_groups
 from daybook.llm.html_extract import extract_pages
+from daybook.llm.lexical import ranked_search
 from daybook.llm.quality import classify
 from daybook.llm.sharding import byte_shards
 from daybook.llm.simhash import near_duplicates
@@ -133,3 +134,8 @@ def op13_chat(spark, sf_dir):
 @_query
 def op12_spelling(spark, sf_dir):
     return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op11_lexical(spark, sf_dir):
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
