@@ -188,7 +188,7 @@ def format_turns(turns: DataFrame, learned: str = "assistant") -> DataFrame:
     without place, role and text mark a conversation that may have no turns. A null conv
     is a conversation like any other.
     """
-    is_turn = F.coalesce("place", "role", "text").isNotNull()
+    is_turn = F.col("place").isNotNull() | F.col("role").isNotNull() | F.col("text").isNotNull()
     body = escaped(F.coalesce("text", F.lit("")))
     head = F.concat(F.lit(_OPEN), _role_line(F.col("role")), F.lit("\n"))
     pieces = turns.select(

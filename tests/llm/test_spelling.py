@@ -89,6 +89,7 @@ def test_small_cells_find_the_same(spark):
     df = spelling.stored(spark.createDataFrame(list(words.items()), "word string, n long"))
     found = {r.word: r.n_near for r in spelling.near_words(df, sample=50, cell=8).collect()}
     assert found == {w: len(x) for w, x in near_by_deletion(words).items() if x}
+    assert sum(found.values()) > 500
 
 
 def test_search_prunes_boxes_and_misses_nothing():
