@@ -65,3 +65,14 @@ def packed(columns: list[str]) -> Column:
 
 def unpacked(columns: list[str], struct: str) -> list[Column]:
     return [F.col(struct)[f"c{i}"].alias(name) for i, name in enumerate(columns)]
+
+
+def bounded_sample(rows: DataFrame, size: int) -> DataFrame:
+    """About `size` of the stored rows, spread by a hash, and never more than twice as many.
+
+    Unlike the first of a sorted order this sends no more than that to the driver, however
+    many tasks there are.
+    """
+    every = max(1, -(-rows.count() // size))
+    spread = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(every)) == 0
+    return rows.where(spread).limit(2 * size)

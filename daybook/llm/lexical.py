@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from daybook.llm.common import column, ship_library, stored
+from daybook.llm.common import bounded_sample, column, ship_library, stored
 
 TOP = 50
 # Documents that centroids are fitted on, and that give first bounds.
@@ -277,7 +277,7 @@ def _search_block(docs, items: pd.DataFrame, doc_id: str, text: str, top: int, s
     corpus = Corpus(n_docs, max(1, n_terms), weight(n_docs, holding))
 
     some = vectors.where(F.size("terms") > 0)
-    picked = some.orderBy(F.xxhash64("doc_id", "n")).limit(sample).select("n", "terms", "tfs").toPandas()
+    picked = bounded_sample(some.select("n", "terms", "tfs"), sample).toPandas()
     x = corpus.contributions(*_sparse(picked))
     cells = sample_cells(x, width, CELLS)
     centroids = np.array([_centroid(x.take(rows), width) for rows in cells])
