@@ -7,7 +7,7 @@ within one. A tree's node knows the box of its vectors; queries that are too far
 the box leave it out as a whole. What the search finds is verified letter by letter.
 
 Words of a length are dealt to tasks by the upper part of a tree, which is fitted on a
-sample of at most SAMPLE words; every word is in exactly one of its cells, and asks
+sample of about SAMPLE words; every word is in exactly one of its cells, and asks
 every cell whose region its range reaches. Lower nodes are built within the
 tasks. A wrong sample makes cells uneven, never a result wrong.
 
@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from daybook.llm.common import column, ship_library, stored
+from daybook.llm.common import bounded_sample, column, ship_library, stored
 
 MIN_LENGTH, MIN_COUNT = 6, 5
 # Of so many spellings in a document one loses a letter.
@@ -33,7 +33,7 @@ DOMINANCE = 5
 
 SAMPLE = 20_000
 # Words a cell should hold, and a tree's leaf.
-CELL, LEAF = 8192, 24
+CELL, LEAF = 4096, 24
 # a-z, and all other letters by their codes: merging letters never makes a distance larger.
 DIMENSIONS = 32
 _PAIRS_AT_A_TIME = 1 << 20
@@ -280,15 +280,15 @@ class UpperTree:
 
 
 def _upper_tree(words: DataFrame, sample: int, cell: int) -> UpperTree:
-    """Deep enough for the most frequent length, fitted on the first `sample` words by a hash."""
+    """Deep enough for the most frequent length, fitted on about `sample` words."""
     sizes = words.groupBy(F.length("word").alias("length")).count()
     largest = sizes.agg(F.max("count")).first()[0] or 0
     depth = max(0, int(np.ceil(np.log2(max(1, largest) / cell))))
     if not depth:
         return UpperTree(np.zeros((0, DIMENSIONS), np.int32), 0)
     # A very long word tells no more than its first letters here.
-    some = words.select(F.substring("word", 1, 1000).alias("word")).orderBy(F.xxhash64("word")).limit(sample)
-    vectors = [letter_counts([row.word])[0] for row in some.collect()]  # at most `sample` rows
+    some = bounded_sample(words.select(F.substring("word", 1, 1000).alias("word")), sample)
+    vectors = [letter_counts([row.word])[0] for row in some.collect()]
     return UpperTree(np.array(vectors), depth)
 
 
