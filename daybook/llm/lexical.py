@@ -33,7 +33,7 @@ TOP = 50
 SAMPLE = 2048
 CELLS, GROUPS = 32, 8
 # Entries of vectors in a bucket, documents in a leaf.
-BUCKET_ENTRIES = 1 << 20
+BUCKET_ENTRIES = 1 << 19
 LEAF = 64
 # Pairs of an item and its term that are searched at a time.
 BLOCK_TERMS = 500_000

@@ -6,8 +6,8 @@ range search finds all candidates: its own length within two, the next length
 within one. A tree's node knows the box of its vectors; queries that are too far from
 the box leave it out as a whole. What the search finds is verified letter by letter.
 
-Words of a length are dealt to tasks by the upper part of a tree, which is fitted on a
-sample of about SAMPLE words; every word is in exactly one of its cells, and asks
+Words of a length are dealt to tasks by the upper part of its tree, which is fitted on a
+sample of about SAMPLE words of all lengths; every word is in exactly one of its cells, and asks
 every cell whose region its range reaches. Lower nodes are built within the
 tasks. A wrong sample makes cells uneven, never a result wrong.
 
@@ -33,7 +33,7 @@ DOMINANCE = 5
 
 SAMPLE = 20_000
 # Words a cell should hold, and a tree's leaf.
-CELL, LEAF = 4096, 24
+CELL, LEAF = 8192, 24
 # a-z, and all other letters by their codes: merging letters never makes a distance larger.
 DIMENSIONS = 32
 _PAIRS_AT_A_TIME = 1 << 20
@@ -279,24 +279,26 @@ class UpperTree:
         return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
 
 
-def _upper_tree(words: DataFrame, sample: int, cell: int) -> UpperTree:
-    """Deep enough for the most frequent length, fitted on about `sample` words."""
-    sizes = words.groupBy(F.length("word").alias("length")).count()
-    largest = sizes.agg(F.max("count")).first()[0] or 0
-    depth = max(0, int(np.ceil(np.log2(max(1, largest) / cell))))
-    if not depth:
-        return UpperTree(np.zeros((0, DIMENSIONS), np.int32), 0)
-    # A very long word tells no more than its first letters here.
-    some = bounded_sample(words.select(F.substring("word", 1, 1000).alias("word")), sample)
-    vectors = [letter_counts([row.word])[0] for row in some.collect()]
-    return UpperTree(np.array(vectors), depth)
+def _upper_trees(words: DataFrame, sample: int, cell: int) -> dict[int, UpperTree]:
+    """A tree for each length of more words than a cell takes, fitted on its words in a sample."""
+    sizes = words.groupBy(F.length("word").alias("length")).count().where(F.col("count") > cell)
+    large = {row["length"]: row["count"] for row in sizes.collect()}  # a row for `cell` words at least
+    if not large:
+        return {}
+    some = bounded_sample(words.where(F.length("word").isin(list(large))).select("word"), sample)
+    found = pd.Series([row.word for row in some.collect()], dtype=object)
+    return {
+        length: UpperTree(letter_counts(list(part)), int(np.ceil(np.log2(large[length] / cell))))
+        for length, part in found.groupby(found.str.len())
+    }
 
 
 def near_words(words: DataFrame, sample: int = SAMPLE, cell: int = CELL) -> DataFrame:
     """(word, n_near, form, form_n): the number of near words, and the most frequent of them (ties: the first
     in code-point order) with its n, for each of the stored words (word, n) that has any."""
     ship_library(words.sparkSession)
-    tree = _upper_tree(words, sample, cell)
+    trees = _upper_trees(words, sample, cell)
+    whole = UpperTree(np.zeros((0, DIMENSIONS), np.int32), 0)
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -307,7 +309,7 @@ def near_words(words: DataFrame, sample: int = SAMPLE, cell: int = CELL) -> Data
                     vectors = letter_counts(list(some["word"]))
                     # A word's own cell; the cells of its length; those of the next.
                     for kind, (of, reach) in enumerate(((length, 0), (length, 2), (length + 1, 1))):
-                        place, cell_of = tree.reached(vectors, reach)
+                        place, cell_of = trees.get(of, whole).reached(vectors, reach)
                         yield pd.DataFrame(
                             {
                                 "length": np.full(len(place), of),
