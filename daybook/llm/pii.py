@@ -2,19 +2,23 @@
 
 Plain identifiers are found in the text as it stands. A text with signs of a disguise
 is also normalised by a chain of transducers: look-alike and zero-width
-characters, spelled digits, and disguised at signs and dots. Each rewrites a tape of
-characters that remember which source characters they came from, so an identifier
-found on the last tape is mapped back to the source. Spans that the plain search has
-already covered are not repeated.
+characters, spelled digits, and disguised at signs and dots. Each rewrites a tape and
+remembers which parts of it came from where, so an identifier found on the last tape is
+mapped back to the source. Spans that the plain search has already covered are not
+repeated. A plain fragment of a disguised identifier, as the end of an address with one
+look-alike letter, stays a span beside the whole. A bare "at" before a plain domain counts
+only if what stands before it looks like a mailbox or a word nearby speaks of one.
 
 Positions are code points, the end exclusive. A null text counts as empty; repeated
-rows are searched each; an empty table gives an empty result; other columns are
+rows are searched each; very long texts are searched whole, in time that grows with
+their length; an empty table gives an empty result; other columns are
 ignored.
 """
 
 import re
 import sys
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -60,7 +64,8 @@ def find_emails(text: str) -> Iterator[Span]:
 
 def find_ips(text: str) -> Iterator[Span]:
     for match in _IP.finditer(text):
-        if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in match.group().split(".")):
+        parts = [part.lstrip("0") for part in match.group().split(".")]
+        if all(len(part) <= 3 and int(part or "0") <= 255 for part in parts):
             yield match.span()
 
 
@@ -130,42 +135,71 @@ def _characters() -> dict[str, str]:
     return table | LOOK_ALIKES | dict.fromkeys(ZERO_WIDTH, "")
 
 
+@dataclass
+class Edits:
+    """What a transducer rewrote, in order: where each output lies, and the part of the input it came from.
+
+    Between edits, output and input run side by side, so this grows with the number of
+    edits and not with the text.
+    """
+
+    out_starts: list[int]
+    out_ends: list[int]
+    in_starts: list[int]
+    in_ends: list[int]
+
+    def input(self, start: int, end: int) -> Span:
+        """The part of the input that output from start to end came from."""
+        first, last = bisect_right(self.out_starts, start) - 1, bisect_right(self.out_starts, end - 1) - 1
+        if first >= 0:
+            inside = start < self.out_ends[first]
+            start = self.in_starts[first] if inside else start - self.out_ends[first] + self.in_ends[first]
+        if last >= 0:
+            inside = end <= self.out_ends[last]
+            end = self.in_ends[last] if inside else end - self.out_ends[last] + self.in_ends[last]
+        return start, end
+
+
 @dataclass
 class Tape:
-    """Characters, each with the part of the source that it came from."""
+    """A text and the edits that led to it from the source."""
 
     text: str
-    starts: list[int]
-    ends: list[int]
-
-    @classmethod
-    def of(cls, text: str) -> "Tape":
-        return cls(text, list(range(len(text))), list(range(1, len(text) + 1)))
+    history: list[Edits]
 
     def source(self, start: int, end: int) -> Span:
-        return self.starts[start], self.ends[end - 1]
+        for edits in reversed(self.history):
+            start, end = edits.input(start, end)
+        return start, end
 
 
 @dataclass
 class Transducer:
-    """Replaces each match of a pattern; the output came from the whole match."""
+    """Replaces each match of a pattern that a condition accepts; the output came from the whole match."""
 
     pattern: re.Pattern
     output: Callable[[re.Match], str]
+    accepts: Callable[[re.Match], bool] = lambda match: True
 
     def __call__(self, tape: Tape) -> Tape:
-        text, starts, ends, done = [], [], [], 0
+        text, done, size, edits = [], 0, 0, Edits([], [], [], [])
         for match in self.pattern.finditer(tape.text):
             start, end = match.span()
-            if start == end:
+            if start == end or not self.accepts(match):
                 continue
             new = self.output(match)
             text += tape.text[done:start], new
-            starts += tape.starts[done:start] + [tape.starts[start]] * len(new)
-            ends += tape.ends[done:start] + [tape.ends[end - 1]] * len(new)
+            size += start - done
+            edits.out_starts.append(size)
+            size += len(new)
+            edits.out_ends.append(size)
+            edits.in_starts.append(start)
+            edits.in_ends.append(end)
             done = end
+        if not edits.out_starts:
+            return tape
         text.append(tape.text[done:])
-        return Tape("".join(text), starts + tape.starts[done:], ends + tape.ends[done:])
+        return Tape("".join(text), [*tape.history, edits])
 
 
 _WORD = "|".join(DIGIT_WORDS)
@@ -182,6 +216,19 @@ _DOT = r"\s{0,3}[\[({<]\s{0,3}(?:dot|\.)\s{0,3}[\])}>]\s{0,3}|(?<=[A-Za-z0-9])\s
 _MARKED_DOT = "\x00"
 _BARE_AT = rf"(?<=[A-Za-z0-9])\s{{1,3}}at\s{{1,3}}(?=[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*{_MARKED_DOT})"
 
+# Before a plain domain with one of these endings (fixed values), a bare "at" counts where what
+# stands before it looks like a mailbox, or a word nearby speaks of one.
+_ENDINGS = "com|org|net|edu|gov|info|io|co|uk|de|fr|es|eu"
+_PLAIN_AT = rf"(?<=[A-Za-z0-9])\s{{1,3}}at\s{{1,3}}(?=[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.(?:{_ENDINGS})\b)"
+_MAILBOX = re.compile(r"[A-Za-z0-9%+-]*(?:[._][A-Za-z0-9]|[0-9])[A-Za-z0-9._%+-]*\Z")
+_CUE = re.compile(r"\b(?:e-?mail|mail|mailbox|contact|write to|reach|address)\b[^.!?\n]*\Z", re.IGNORECASE)
+_NEARBY = 64
+
+
+def _names_a_mailbox(match: re.Match) -> bool:
+    before = match.string[max(0, match.start() - _NEARBY) : match.start()]
+    return _MAILBOX.search(before) is not None or _CUE.search(before) is not None
+
 
 def _digits(match: re.Match) -> str:
     words = re.findall(_WORD, match.group(), re.IGNORECASE)
@@ -203,9 +250,11 @@ _CHAIN = [
     Transducer(re.compile(_DOT, re.IGNORECASE), lambda m: _MARKED_DOT),
     Transducer(re.compile(_BARE_AT, re.IGNORECASE), lambda m: "@"),
     Transducer(re.compile(_MARKED_DOT), lambda m: "."),
+    Transducer(re.compile(_PLAIN_AT, re.IGNORECASE), lambda m: "@", _names_a_mailbox),
 ]
 _BRACKETS = re.compile(r"[\[({<]\s{0,3}(?:at|@|dot|\.)\s{0,3}[\])}>]")
 _TWO_DIGITS = re.compile(rf"(?:{_WORD})[ \t]*[-,]?[ \t]*(?:{_WORD})")
+_SPACED_AT = re.compile(_PLAIN_AT)
 _BY_DIGITS = re.compile(rf"[0-9][ \t.,()-]?(?:{_WORD})|(?:{_WORD})[ \t.,()-]?[0-9]")
 
 
@@ -220,11 +269,12 @@ def has_signs(text: str) -> bool:
         or _BRACKETS.search(lowered) is not None
         or _TWO_DIGITS.search(lowered) is not None
         or _BY_DIGITS.search(lowered) is not None
+        or _SPACED_AT.search(lowered) is not None
     )
 
 
 def normalise(text: str) -> Tape:
-    tape = Tape.of(text.replace(_MARKED_DOT, " "))
+    tape = Tape(text.replace(_MARKED_DOT, " "), [])
     for transducer in [_fold(text), *_CHAIN]:
         tape = transducer(tape)
     return tape
@@ -241,9 +291,12 @@ def find_spans(text: str) -> list[tuple[str, int, int, bool, str]]:
         plain = list(find(text))
         found = [(start, end, True, text[start:end]) for start, end in plain]
         if tape is not None:
+            # Plain spans are sorted and apart: only the last that starts in time can hold another.
+            starts = [start for start, _ in plain]
             for start, end in find(tape.text):
                 first, last = tape.source(start, end)
-                if not any(a <= first and last <= b for a, b in plain):
+                before = bisect_right(starts, first) - 1
+                if before < 0 or last > plain[before][1]:
                     found.append((first, last, False, tape.text[start:end]))
         spans += [(kind, *span) for span in sorted(found)]
     return spans

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import struct
+import time
 import zlib
 
 import numpy as np
@@ -281,6 +282,9 @@ def test_plain_identifiers_equal_brute_force():
         ("é plus one five five five 123 4567", "phone", "plus one five five five 123 4567", "+1555 123 4567"),
         ("at one nine two dot one six eight dot one dot one.", "ip", "one nine two dot one six eight dot one dot one", "192.168.1.1"),
         ("a@b​.com", "email", "a@b​.com", "a@b.com"),
+        ("so john.doe at example.com wrote", "email", "john.doe at example.com", "john.doe@example.com"),
+        ("agent7 at mail.example.org", "email", "agent7 at mail.example.org", "agent7@mail.example.org"),
+        ("please contact mary at example.com", "email", "mary at example.com", "mary@example.com"),
     ],
 )
 def test_disguised_identifiers_map_back_to_their_source(text, kind, source, value):
@@ -288,11 +292,41 @@ def test_disguised_identifiers_map_back_to_their_source(text, kind, source, valu
     assert [(s[0], text[s[1] : s[2]], s[4]) for s in hidden] == [(kind, source, value)]
 
 
-@pytest.mark.parametrize("text", ["meet at example.com", "the dot com boom", "one two", "plus one", "ﬁne²"])
+@pytest.mark.parametrize("text", ["meet at example.com", "we met at example.com. Contact us", "version 2.0 is at home", "the dot com boom", "one two", "plus one", "ﬁne²"])
 def test_ordinary_writing_is_left_alone(text):
     assert pii.find_spans(text) == []
 
 
+def test_long_runs_of_digits_and_many_addresses():
+    assert pii.find_spans("0" * 5000 + ".1.1.1") == [("ip", 0, 5006, True, "0" * 5000 + ".1.1.1")]
+    assert pii.find_spans("1" * 5000 + ".1.1.1 " + "1." * 5000 + "1") == [
+        ("ip", 5007 + 8 * i, 5014 + 8 * i, True, "1.1.1.1") for i in range(1250)
+    ]
+    text = "see x.y at b.com, a\u200b@b.com, c@d.org; " * 100_000
+    begin = time.perf_counter()
+    spans = pii.find_spans(text)
+    assert time.perf_counter() - begin < 20
+    assert len(spans) == 300_000
+    assert {text[a:b] for _, a, b, *_ in spans} == {"x.y at b.com", "a\u200b@b.com", "c@d.org"}
+
+
+def test_spans_of_random_disguises_map_back(spark):
+    """Each disguise stands for a known character, so the value can be read off the source."""
+    rng = random.Random(9)
+    at, dot = ["@", " (at) ", " [AT] ", "{@}"], [".", " (dot) ", " [dot] ", "\u200b."]
+    for _ in range(500):
+        parts, expected, text = [], [], ""
+        for _ in range(rng.randrange(1, 6)):
+            name = "".join(rng.choice("abcxyz") for _ in range(rng.randrange(3, 9)))
+            hidden = "".join({"a": "а", "c": "с", "x": "х"}.get(c, c) if rng.random() < 0.3 else c for c in name)
+            source = hidden + rng.choice(at) + "host" + rng.choice(dot) + "com"
+            text += rng.choice(["; ", "\n", " | "])
+            expected.append((len(text), len(text) + len(source), f"{name}@host.com"))
+            text += source
+        found = [(a, b, value) for kind, a, b, _, value in pii.find_spans(text) if kind == "email"]
+        assert set(expected) <= set(found), text
+
+
 def test_pii_query_columns(spark):
     found = pii.find_pii(frame(spark)).select("doc_id", pii.listed(F.col("spans")).alias("s"))
     expected = ordered(
