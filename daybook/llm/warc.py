@@ -4,10 +4,13 @@ A capture is three records: the response (or a revisit, if an earlier page has t
 same payload), the request, and metadata with the page's key. The latter two name
 the first in WARC-Concurrent-To, which is how they are put together again.
 
-Archives are written by Spark's own text writer, so a failed task leaves nothing
-behind: a record ends with two line breaks, which serve as line separator. Reading
-takes each file as a whole and unpacks it record by record; `max_records` bounds
-the size of a file.
+Every record is a gzip member of its own (several if it is very large), so that a reader
+may stop or start at any. Archives are written by Spark's own text writer, so a failed task
+leaves nothing behind. A line of it is a chunk of whole records of at most `chunk_bytes`, or one
+larger record, and a file holds at most `chunks_per_file` of them, so files are bounded by their
+bytes. The writer ends each line with a zero byte, which is the last byte of the
+chunk's last member: the highest of its size, below 16 MB. Reading takes a file at a
+time and unpacks it record by record.
 """
 
 import base64
@@ -15,6 +18,7 @@ import gzip
 import hashlib
 import io
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -27,6 +31,9 @@ _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 # Rows handed to Spark at a time while reading.
 _BATCH_RECORDS = 512
 _BATCH_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
+# A member of fewer bytes ends with a zero byte.
+_MEMBER_BYTES = (1 << 24) - 1
 
 RECORD_SCHEMA = (
     "record_id string, type string, date string, uri string, concurrent_to string, "
@@ -35,8 +42,8 @@ RECORD_SCHEMA = (
 )
 
 
-def _urn(kind: str, key: str | None, uri: str | None, digest: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, repr((kind, key, uri, digest)))}>"
+def _urn(kind: str, row: int, digest: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, repr((kind, row, digest)))}>"
 
 
 def payload_digest(payload: bytes) -> str:
@@ -44,11 +51,19 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _record(headers: list[tuple[str, str | None]], block: str) -> str:
-    """All of a record but the two line breaks at its end."""
+def _record(headers: list[tuple[str, str | None]], block: bytes) -> bytes:
     lines = ["WARC/1.1", *(f"{k}: {v}" for k, v in headers if v is not None)]
-    lines.append(f"Content-Length: {len(block.encode())}")
-    return _BREAK.join([*lines, "", block])
+    lines.append(f"Content-Length: {len(block)}")
+    return _BREAK.join([*lines, "", ""]).encode() + block + (_BREAK * 2).encode()
+
+
+def members(record: bytes) -> bytes:
+    """The record as one gzip member, or as many as keep each below _MEMBER_BYTES."""
+    parts = []
+    for start in range(0, len(record), _MEMBER_BYTES):
+        packer = zlib.compressobj(wbits=31)
+        parts += packer.compress(record[start : start + _MEMBER_BYTES]), packer.flush()
+    return b"".join(parts)
 
 
 def _one_line(value: str | None) -> str | None:
@@ -56,44 +71,37 @@ def _one_line(value: str | None) -> str | None:
 
 
 def capture_records(
-    key: str | None,
-    uri: str | None,
-    html: str,
-    first_key: str | None,
-    first_uri: str | None,
-    is_first: bool,
-    date: str,
-) -> Iterator[str]:
-    """The three records of a page; a revisit refers to the response of first_key and first_uri."""
+    key: str | None, uri: str | None, html: str, row: int, first_row: int, is_first: bool, date: str
+) -> Iterator[bytes]:
+    """The three records of a page; a revisit refers to the response of first_row."""
     payload = html.encode()
     content, digest = hashlib.sha256(payload).hexdigest(), payload_digest(payload)
     uri = _one_line(uri)
-    own = _urn("response", key, uri, content)
+    own = _urn("response", row, content)
     head = _BREAK.join(
         ["HTTP/1.1 200 OK", "Content-Type: text/html; charset=utf-8"]
         + [f"Content-Length: {len(payload)}", "", ""]
-    )
+    ).encode()
     common = [("WARC-Date", date), ("WARC-Target-URI", uri)]
     described = [("WARC-Record-ID", own), *common, ("WARC-Payload-Digest", f"sha1:{digest}")]
     http = ("Content-Type", "application/http; msgtype=response")
     if is_first:
-        yield _record([("WARC-Type", "response"), *described, http], head + html)
+        yield _record([("WARC-Type", "response"), *described, http], head + payload)
     else:
-        original = _urn("response", first_key, _one_line(first_uri), content)
-        refers = [("WARC-Refers-To", original), ("WARC-Profile", _PROFILE)]
+        refers = [("WARC-Refers-To", _urn("response", first_row, content)), ("WARC-Profile", _PROFILE)]
         yield _record([("WARC-Type", "revisit"), *described, *refers, http], head)
     together = [*common, ("WARC-Concurrent-To", own)]
     place = (uri or "").partition("://")[2]
     host, _, path = place.partition("/")
     yield _record(
-        [("WARC-Type", "request"), ("WARC-Record-ID", _urn("request", key, uri, content)), *together]
+        [("WARC-Type", "request"), ("WARC-Record-ID", _urn("request", row, content)), *together]
         + [("Content-Type", "application/http; msgtype=request")],
-        _BREAK.join([f"GET /{path} HTTP/1.1", f"Host: {host}", "", ""]),
+        _BREAK.join([f"GET /{path} HTTP/1.1", f"Host: {host}", "", ""]).encode(),
     )
     yield _record(
-        [("WARC-Type", "metadata"), ("WARC-Record-ID", _urn("metadata", key, uri, content)), *together]
+        [("WARC-Type", "metadata"), ("WARC-Record-ID", _urn("metadata", row, content)), *together]
         + [("Content-Type", "application/warc-fields")],
-        "" if key is None else f"page-key: {key}{_BREAK}",
+        b"" if key is None else f"page-key: {key}{_BREAK}".encode(),
     )
 
 
@@ -104,24 +112,30 @@ def write_warc(
     url: str = "url",
     html: str = "html",
     min_revisit_bytes: int = 0,
-    max_records: int = 30_000,
+    chunk_bytes: int = CHUNK_BYTES,
+    chunks_per_file: int = 8,
     date: str = "2024-01-01T00:00:00Z",
 ) -> None:
     """Write gzipped archives to path, which must not exist yet.
 
     Of pages with equal payloads of at least min_revisit_bytes the one with the
-    smallest key is a response and the others revisit it. A null html is an empty
-    payload. A null key is larger than any other, a null url leaves the target out.
-    Other columns are ignored. An empty table gives an archive without records.
+    smallest key is a response and the others revisit it; rows that repeat the smallest key
+    are responses each. A null html is an empty payload. A null key is larger than any
+    other, a null url leaves the target out. Other columns are ignored. An empty table
+    gives an archive without records.
     """
-    rows = pages.select(
-        column(key).alias("key"),
-        column(url).cast("string").alias("url"),
-        F.coalesce(column(html), F.lit("")).alias("html"),
-    ).withColumn("content", F.unhex(F.sha2("html", 256)))
+    # Rows are numbered before they are written, so that a task run again gives the same ids.
+    rows = stored(
+        pages.select(
+            column(key).alias("key"),
+            column(url).cast("string").alias("url"),
+            F.coalesce(column(html), F.lit("")).alias("html"),
+            F.monotonically_increasing_id().alias("row"),
+        ).withColumn("content", F.unhex(F.sha2("html", 256)))
+    )
     # Only digests and keys are grouped; the join then lets Spark split a payload
     # that very many pages share.
-    smallest = F.min(F.struct(F.col("key").isNull().alias("no_key"), "key", "url"))
+    smallest = F.min(F.struct(F.col("key").isNull().alias("no_key"), "key", "url", "row"))
     first = rows.groupBy("content").agg(smallest.alias("first"))
     is_first = F.col("key").eqNullSafe(F.col("first.key")) | (
         F.octet_length("html") < min_revisit_bytes
@@ -130,37 +144,37 @@ def write_warc(
         F.col("key").cast("string").alias("key"),
         "url",
         "html",
-        F.col("first.key").cast("string").alias("first"),
-        F.col("first.url").alias("first_url"),
+        "row",
+        F.col("first.row").alias("first_row"),
         is_first.alias("is_first"),
     )
 
     ship_library(pages.sparkSession)
 
-    def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found, size = [], 0
         for batch in batches:
-            found: list[str] = []
-            size = 0
-            for row in batch.itertuples(index=False):
-                name = None if pd.isna(row.key) else row.key
-                first_name = None if pd.isna(row.first) else row.first
-                uri = None if pd.isna(row.url) else row.url
-                first_uri = None if pd.isna(row.first_url) else row.first_url
-                found += capture_records(
-                    name, uri, row.html, first_name, first_uri, row.is_first, date
-                )
-                size += len(row.html)
-                if size > _BATCH_BYTES:
-                    yield pd.DataFrame({"value": found})
-                    found, size = [], 0
-            if found:
-                yield pd.DataFrame({"value": found})
+            for page in batch.itertuples(index=False):
+                name = None if pd.isna(page.key) else page.key
+                uri = None if pd.isna(page.url) else page.url
+                for record in capture_records(
+                    name, uri, page.html, page.row, page.first_row, page.is_first, date
+                ):
+                    packed = members(record)
+                    if size + len(packed) > chunk_bytes and found:
+                        yield pd.DataFrame({"value": [b"".join(found)[:-1]]})
+                        found, size = [], 0
+                    found.append(packed)
+                    size += len(packed)
+        if found:
+            yield pd.DataFrame({"value": [b"".join(found)[:-1]]})
 
     (
-        planned.mapInPandas(records, "value string")
-        .write.option("lineSep", _BREAK * 2)
-        .option("compression", "gzip")
-        .option("maxRecordsPerFile", max_records)
+        planned.mapInPandas(chunks, "value binary")
+        .select(F.col("value").cast("string"))
+        .write.option("lineSep", "\0")
+        .option("compression", "none")
+        .option("maxRecordsPerFile", chunks_per_file)
         .text(path)
     )
 
@@ -228,8 +242,14 @@ def describe_record(headers: dict[str, str], block: bytes, with_payload: bool) -
     )
 
 
-def read_warc(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
-    """One row per record of the archives below path."""
+def read_warc(
+    spark: SparkSession, path: str, with_payload: bool = True, glob: str = "part-*"
+) -> DataFrame:
+    """One row per record of the archives below path.
+
+    A file is one value of a row here, so a task needs memory for one file; files that write_warc
+    made are bounded by their bytes.
+    """
     ship_library(spark)
     names = [part.strip().split(" ")[0] for part in RECORD_SCHEMA.replace("string,string", "").split(",")]
 
@@ -246,7 +266,7 @@ def read_warc(spark: SparkSession, path: str, with_payload: bool = True) -> Data
                 if rows:
                     yield pd.DataFrame(rows, columns=names)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
     return files.select("content").mapInPandas(records, RECORD_SCHEMA)
 
 
@@ -274,8 +294,8 @@ def warc_roundtrip(
     """Write pages as archives, read them back, and return one row per capture.
 
     Columns: the key, payload_bytes, payload_digest, record_type, and refers_to,
-    the key of the response that a revisit repeats. A row that is repeated
-    exactly (key, url and payload) is one capture.
+    the key of the response that a revisit repeats. Each row is a capture, also one that is
+    repeated exactly. Very long pages are one record each; an empty table gives no rows.
     """
     write_warc(pages, path, key, url, html, **options)
     kind = pages.select(column(key)).schema[0].dataType

@@ -170,7 +170,7 @@ PAGES = [
 
 
 def expected_captures(rows, least=0):
-    first, found = {}, set()
+    first, found = {}, []
     for key, _, html in rows:
         first[html or ""] = min(key, first.get(html or "", key))
     for key, _, html in rows:
@@ -179,7 +179,7 @@ def expected_captures(rows, least=0):
         again = key != original and len(payload) >= least
         digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
         kind = "revisit" if again else "response"
-        found.add((key, len(payload), digest, kind, original if again else None))
+        found.append((key, len(payload), digest, kind, original if again else None))
     return ordered(found)
 
 
