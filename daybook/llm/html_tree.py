@@ -49,18 +49,20 @@ ASIDE = frozenset(
     "share sharing social related recommended newsletter subscribe subscription signup login "
     "pagination pager toolbar widget widgets skip".split()
 )
-# Or with a word of place or form before or after: top-menu, comment-list.
+# Or two of them, or one with a word of place or form before or after: cookie-notice, top-menu, comment-list.
 _PLACES = "top bottom left right upper lower inner outer site page".split()
 _FORMS = "list item items box block bar area section wrap wrapper container form links".split()
 ASIDE |= {
     f"{before}{mark}{after}"
     for name in ASIDE
-    for before, after in [*((p, name) for p in _PLACES), *((name, f) for f in _FORMS)]
+    for before, after in [*((p, name) for p in _PLACES), *((name, x) for x in [*_FORMS, *ASIDE])]
     for mark in "-_"
 }
 # An article of this name is a reader's. No other names are taken of elements that hold the article.
 READERS = frozenset(("comment", "comments", "reply", "replies"))
 HOLDERS = frozenset(("html", "body", "main"))
+# Names that a piece of writing may have as its topic: they say nothing within an article.
+TOPICS = frozenset("menu social banner".split())
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
 # Quotes delimit a value directly after "=" only. One that is never closed is read as an
@@ -79,9 +81,13 @@ class Node:
     tag: str
     names: tuple[str, ...] = ()
     parts: list = field(default_factory=list)
-    # Its class, id and role names as they stand, and whether it has an article or main below it.
+    # Its class, id and role names as they stand, and whether it has an article or main below it,
+    # or above it.
     tokens: frozenset[str] = frozenset()
     holds_article: bool = False
+    in_article: bool = False
+    # Set where the host's wrapper, or lack of anything else, says that this is content.
+    is_content: bool = False
 
     @property
     def label(self) -> str:
@@ -89,11 +95,15 @@ class Node:
 
     @property
     def beside_article(self) -> bool:
+        if self.is_content:
+            return False
         if self.tag in DROPPED:
-            return True
+            # Some frameworks put a whole page into one form.
+            return not (self.tag == "form" and self.holds_article)
         if self.tag in HOLDERS or self.holds_article:
             return False
-        return not (READERS if self.tag == "article" else ASIDE).isdisjoint(self.tokens)
+        tokens = self.tokens - TOPICS if self.in_article else self.tokens
+        return not (READERS if self.tag == "article" else ASIDE).isdisjoint(tokens)
 
 
 def _tokens(attributes: str) -> frozenset[str]:
@@ -194,7 +204,9 @@ def parse(page: str) -> Node:
         if name in INLINE and ASIDE.isdisjoint(tokens):
             node = nodes[-1]
         else:
-            node = Node(name, _names(tokens), tokens=tokens)
+            above = nodes[-1]
+            inside = above.in_article or above.tag in ("article", "main")
+            node = Node(name, _names(tokens), tokens=tokens, in_article=inside)
             nodes[-1].parts.append(node)
             if name in ("article", "main") and not node.beside_article:
                 for above in nodes:
@@ -240,12 +252,13 @@ def hash_text(text: str) -> int:
 class Shape:
     """A node of a folded tree: siblings of equal structure are one node.
 
-    texts are the hashes of the text runs of all the nodes it stands for.
+    texts are the hashes of the text runs of all the nodes it stands for, sizes their code points.
     """
 
     label: str
     children: list["Shape"] = field(default_factory=list)
     texts: list[int] = field(default_factory=list)
+    sizes: list[int] = field(default_factory=list)
     nodes: list[Node] = field(default_factory=list)
 
     def signature(self) -> tuple:
@@ -259,6 +272,7 @@ def fold(node: Node) -> Shape:
     for part in blocks_of(node):
         if isinstance(part, str):
             shape.texts.append(hash_text(part))
+            shape.sizes.append(len(part))
         else:
             child = fold(part)
             same = by_structure.setdefault(child.signature(), child)
@@ -271,6 +285,7 @@ def fold(node: Node) -> Shape:
 
 def _merge(shape: Shape, other: Shape) -> None:
     shape.texts += other.texts
+    shape.sizes += other.sizes
     shape.nodes += other.nodes
     for child, more in zip(shape.children, other.children):
         _merge(child, more)

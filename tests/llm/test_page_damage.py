@@ -1,5 +1,8 @@
 """Pages with stray quotes, misleading names, and templates that not every page has."""
 
+import random
+import re
+
 import pytest
 
 from daybook.llm import html_extract, html_tree
@@ -30,6 +33,11 @@ def test_quotes_delimit_after_an_equals_sign_only(page, blocks):
         ("<div class=widget><main>a</main></div>", ["a"]),
         ("<article>a<section class='social-sciences'>b</section><div class='related'>no</div></article>", ["a", "b"]),
         ("<article>a<div class=comments><article class=comment>no</article></div></article>", ["a"]),
+        ("<body><form id=aspnetForm><input><article>a<form>no</form></article></form></body>", ["a"]),
+        ('<body><div class="social"><p>essay</p></div></body>', ["essay"]),
+        ('<body><div class="social"><p>no</p></div><p>essay</p></body>', ["essay"]),
+        ('<article>a<section class="menu">soup</section><div class="top-menu">no</div></article>', ["a", "soup"]),
+        ("<body><div class='cookie-notice'>no</div><form><label>no</label></form></body>", []),
     ],
 )
 def test_names_of_parts_that_hold_the_article_do_not_drop_it(page, blocks):
@@ -51,3 +59,67 @@ def test_whole_pages_are_aligned_exactly_at_any_size():
     many = [f"<div class=c{chr(97 + i % 26)}{chr(97 + i // 26)}>x</div>" for i in range(300)]
     pairs = html_tree.align(fold("".join(many)), fold("<h1>new</h1>" + "".join(many[:150] + ["<p>y"] + many[150:])))
     assert len(pairs) == 301
+
+
+def shop_pages(count, rng):
+    """Pages of a framework that puts all into a form, with names that say the opposite; and their articles."""
+    rows, articles = [], {}
+    for i in range(count):
+        paragraphs = [" ".join(rng.choice(["sun", "moon", "star", "sky"]) + str(rng.randrange(99)) for _ in range(40)) for _ in range(rng.randrange(2, 5))]
+        body = "".join(f"<p>{p}</p>" for p in paragraphs)
+        html = (
+            f"<body><form id=aspnetForm><div class=head><ul><li>Home<li>Shop {'' if i % 3 else '!'}</ul></div>"
+            f"<div class='page'><div class='promo widget'>{body}<p>Share this text</p></div>"
+            f"<div class=sidebar><p>Offer {rng.randrange(9)}</p></div></div><div>All rights reserved</div></form></body>"
+        )
+        rows.append((i, f"https://shop.example.org/{i}", html))
+        articles[i] = "\n\n".join(paragraphs)
+    return rows, articles
+
+
+def test_content_is_the_slot_where_most_text_varies(spark):
+    rows, articles = shop_pages(12, random.Random(8))
+    rows.append((99, "https://shop.example.org/none", "<body><form id=aspnetForm></form></body>"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in html_extract.extract_pages(df).collect()}
+    assert found.pop(99) == "" and found == articles
+
+
+def brute_template(pages):
+    """(path of tags, text) that all pages have, for pages without repeated structure; independent of the trees."""
+    seen = []
+    for html in pages:
+        path, own = [], set()
+        for tag, text in re.findall(r"<(/?[a-z0-9]+)[^>]*>([^<]*)", html):
+            if tag.startswith("/"):
+                path.pop()
+            else:
+                path.append(tag)
+            if text.strip():
+                own.add((tuple(path), text.strip()))
+        seen.append(own)
+    return set.intersection(*seen)
+
+
+def test_planted_templates_are_found_as_by_intersection(spark):
+    rng = random.Random(11)
+    tags = ["div", "section", "p", "blockquote", "h2", "center", "pre", "ul"]
+    rows, expected = [], {}
+    for host in range(6):
+        order = rng.sample(tags, 6)
+        planted = {tag for tag in order if rng.random() < 0.5}
+        pages = []
+        for i in range(10):
+            inner = "".join(
+                f"<{tag}>{'constant of ' + tag if tag in planted else 'varies ' + str(rng.random())}</{tag}>" for tag in order
+            )
+            pages.append(f"<body>{inner}</body>")
+        template = brute_template(pages)
+        assert {path[-1] for path, _ in template} == planted
+        for i, page in enumerate(pages):
+            key = 100 * host + i
+            rows.append((key, f"https://h{host}.example.org/{i}", page))
+            texts = [(tag, text) for tag, text in re.findall(r"<([a-z0-9]+)>([^<]+)", page)]
+            expected[key] = "\n\n".join(text for tag, text in texts if (("body", tag), text) not in template)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html_extract.extract_pages(df).collect()} == expected
