@@ -124,15 +124,16 @@ def write_warc(
     other, a null url leaves the target out. Other columns are ignored. An empty table
     gives an archive without records.
     """
-    # Rows are numbered before they are written, so that a task run again gives the same ids.
-    rows = stored(
-        pages.select(
-            column(key).alias("key"),
-            column(url).cast("string").alias("url"),
-            F.coalesce(column(html), F.lit("")).alias("html"),
-            F.monotonically_increasing_id().alias("row"),
-        ).withColumn("content", F.unhex(F.sha2("html", 256)))
-    )
+    rows = pages.select(
+        column(key).alias("key"),
+        column(url).cast("string").alias("url"),
+        F.coalesce(column(html), F.lit("")).alias("html"),
+        F.monotonically_increasing_id().alias("row"),
+    ).withColumn("content", F.unhex(F.sha2("html", 256)))
+    # A task run again must give a row the same number. Scans of files do, and both
+    # uses of rows below are planned together; what comes out of a shuffle is stored first.
+    if "Exchange" in pages._jdf.queryExecution().executedPlan().toString():
+        rows = stored(rows)
     # Only digests and keys are grouped; the join then lets Spark split a payload
     # that very many pages share.
     smallest = F.min(F.struct(F.col("key").isNull().alias("no_key"), "key", "url", "row"))
