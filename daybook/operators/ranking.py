@@ -3,9 +3,10 @@
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import NullType
 
 from daybook.operators.naming import column, fresh_name
-from daybook.scratch import ensure_checkpoint_dir
+from daybook.scratch import new_table
 
 
 def _newest_first(order: str, tiebreak: Sequence[str]) -> list[Column]:
@@ -41,26 +42,33 @@ def rank_latest(
     its rank within its chunk plus its key's rows in earlier chunks, and only the
     first key of a chunk can have any: the offsets are one row per chunk.
 
-    The chunks are checkpointed at the call, as a second sampling pass would draw other
-    bounds; a row id spreads exact copies over chunks. The row travels in one struct,
-    so its columns may have any names. Where only the newest row is wanted,
-    keep_latest is cheaper.
+    The chunks are written at the call, as a second sampling pass would draw other bounds:
+    once, as compressed columns, in buckets by chunk. Ranking within them needs no further
+    shuffle, and the offsets read the keys alone. A row id spreads exact copies over
+    chunks. The row travels in one struct, so its columns may have any names. Where only the
+    newest row is wanted, keep_latest is cheaper.
     """
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    scratch = new_table(spark)
+    # A column without a type can't be stored, and has nothing to store.
+    typed = [f.name for f in df.schema if not isinstance(f.dataType, NullType)]
     newest_first = [F.col("at").desc_nulls_last(), *(F.col(f"tie{i}") for i in range(len(tiebreak)))]
     rows = df.select(
-        F.struct(*(column(name).alias(f"c{i}") for i, name in enumerate(df.columns))).alias("row"),
+        F.struct(*(column(name).alias(f"c{i}") for i, name in enumerate(typed))).alias("row"),
         F.struct(*(column(name).alias(f"k{i}") for i, name in enumerate(keys))).alias("key"),
         column(order).alias("at"),
         *(column(name).alias(f"tie{i}") for i, name in enumerate(tiebreak)),
         F.monotonically_increasing_id().alias("id"),
     )
-    chunks = (
-        rows.repartitionByRange("key", *newest_first, "id")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (
+        rows.repartitionByRange(parts, "key", *newest_first, "id")
         .drop("id")
         .withColumn("chunk", F.spark_partition_id())
-        .checkpoint()
+        .write.bucketBy(parts, "chunk")
+        .saveAsTable(**scratch)
     )
+    chunks = spark.table(scratch["name"])
     # Within a chunk all rows of a key are together: no group exceeds a chunk.
     within = Window.partitionBy("chunk", "key").orderBy(*newest_first)
     ranked = chunks.select("row", "key", "chunk", F.row_number().over(within).alias("within"))
@@ -85,6 +93,9 @@ def rank_latest(
     offsets = counted.select("chunk", "first_key", F.coalesce(before, F.lit(0)).alias("offset"))
     offset = F.when(F.col("key") == F.col("first_key"), F.col("offset")).otherwise(0)
     return ranked.join(F.broadcast(offsets), "chunk").select(
-        *(F.col(f"row.c{i}").alias(name) for i, name in enumerate(df.columns)),
+        *(
+            F.col(f"row.c{typed.index(name)}").alias(name) if name in typed else F.lit(None).alias(name)
+            for name in df.columns
+        ),
         (F.col("within") + offset).cast("long").alias(rank_column),
     )

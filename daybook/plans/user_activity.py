@@ -144,13 +144,13 @@ def enriched_purchase_rollup(
     A rollup per user uses no profile column; only how often a user's purchases
     would repeat for want of a unique profile.
     """
-    return _repeated(purchase_rollup(latest, amount_type), active_by_user(profiles))
+    # Counted before the shuffle, and without the profiles' columns.
+    active = usable_lookup(profiles, ACTIVE)
+    copies = active.groupBy("user_id").agg(F.count("*").alias("copies"))
+    return _repeated(purchase_rollup(latest, amount_type), copies)
 
 
-def _repeated(rollup: DataFrame, active: DataFrame) -> DataFrame:
-    # From the same groups as the events' profiles, so that Spark runs their shuffle once.
-    groups = lookup_groups(active, "user_id", PROFILE_DEFAULTS)
-    copies = groups.groupBy("user_id").agg(F.sum("copies").alias("copies"))
+def _repeated(rollup: DataFrame, copies: DataFrame) -> DataFrame:
     joined = rollup.join(copies, "user_id", "left")
     repeat = F.coalesce("copies", F.lit(1))
     return joined.withColumns(
@@ -174,11 +174,13 @@ def user_activity_summary(
     Equal to aggregate_user_activity over the enriched frames, but every input
     is rolled up before it is joined.
     """
+    active = active_by_user(profiles)
+    # Copies from the same groups as the events' profiles, so that Spark shuffles them once.
+    groups = lookup_groups(active, "user_id", PROFILE_DEFAULTS)
+    copies = groups.groupBy("user_id").agg(F.sum("copies").alias("copies"))
     summary = attach_rollup(
-        enriched_event_rollup(latest_events(events, start, end), profiles),
-        enriched_purchase_rollup(
-            latest_purchases(purchases, start, end), profiles, amount_type
-        ),
+        _with_profiles(event_rollup(latest_events(events, start, end)), active),
+        _repeated(purchase_rollup(latest_purchases(purchases, start, end), amount_type), copies),
         "user_id",
     )
     return summary.select(*USER_ACTIVITY_SUMMARY.names)
