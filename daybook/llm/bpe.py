@@ -5,14 +5,17 @@ produces, so each word labels one path. It starts as one state with a loop for e
 base symbol, and each merge (u, v) adds a gadget: arcs labelled u get a state of
 their own, a copy of the one they led to but without its arc v, and every state with
 an arc u also gets an arc uv to where u, v used to lead. All arcs of one label lead
-to one state, so a state is known by the label that leads to it. Instead of copying
-whole states, each label remembers what its state was copied from and when, and
-which arcs were taken from it; rows of the transition table are filled in from that
-as texts need them.
-
-A word is encoded by walking the table from left to right over the vocabulary entries
-that match; each position is reached by at most one arc. Decoding emits the labels of
-the arcs. The library is used to be compared with, not to encode.
+to one state, so a state is known by the label that leads to it.
+
+A copied state is not written out. The compiled table holds what each gadget changed: the arc
+taken from its state, the state it was copied from (a failure arc on the left) and the arc
+that its label's arcs were made beside (one on the right), each with the merge's rank.
+A transition follows failure arcs until a changed one decides.
+
+Any beginning of a word has one path as well. So a word is encoded from left to right:
+each position gets the one label whose arc leads there from a position before, and nothing
+is ever taken back. Decoding emits the labels of the arcs. The library is used to be
+compared with, not to encode.
 """
 
 import json
@@ -42,9 +45,12 @@ class MergeAutomaton:
 
     def __init__(self, vocab: Mapping[str, int], merges: Sequence[Sequence[str]], suffix: str):
         size = max(vocab.values()) + 1
+        # By label: the rank of its merge, and the labels merged.
         self.rank = [-1] * size
         self.first, self.last = [0] * size, [0] * size
-        self.taken: dict[tuple[int, int], int] = {}
+        # By state and label, as state * size + label: the rank of the gadget that took the arc.
+        self.size = size
+        self.taken: dict[int, int] = {}
         self.ends = [False] * size
         self.made = [True] * size
         used: set[int] = set()
@@ -55,41 +61,35 @@ class MergeAutomaton:
             if vocab[left + right] in used:
                 raise ValueError("merges must build a token before they use it")
             self._add_gadget(vocab[left], vocab[right], vocab[left + right], rank)
-        self.table: dict[int, dict[int, bool]] = {}
+        self.ranks = len(merges)
 
     def _add_gadget(self, u: int, v: int, uv: int, rank: int) -> None:
         if self.rank[uv] >= 0:
             raise ValueError("merges must build each token once")
         self.rank[uv], self.first[uv], self.last[uv] = rank, u, v
         # Where v never follows u, merging is of no use.
-        self.made[uv] = self.made[u] and self.made[v] and self._had_arc(u, v, rank)
-        self.taken[u, v] = rank
+        self.made[uv] = self.made[u] and self.made[v] and self.has_arc(u, v, rank)
+        self.taken[u * self.size + v] = rank
 
-    def _had_arc(self, state: int, label: int, before: int) -> bool:
+    def has_arc(self, state: int, label: int, before: int) -> bool:
         """Whether the state of this label had the arc before the gadget of a rank."""
-        if self.taken.get((state, label), before) < before or self.ends[state]:
+        taken, rank, first, last, size = self.taken, self.rank, self.first, self.last, self.size
+        if self.ends[state]:
             return False
-        made, came = self.rank[label], self.rank[state]
-        if made > came:
-            u = self.first[label]
-            # In a run of u, the pair is taken from the left: u, uu never follow.
-            if u == state and u == self.last[label]:
-                return False
-            return self._had_arc(state, u, made)
-        if state == label and made >= 0:
-            return self._had_arc(self.last[state], self.first[state], made)
-        if came >= 0:
-            return self._had_arc(self.last[state], label, came)
-        return True
-
-    def has_arc(self, state: int, label: int) -> bool:
-        row = self.table.get(state)
-        if row is None:
-            row = self.table[state] = {}
-        known = row.get(label)
-        if known is None:
-            known = row[label] = self._had_arc(state, label, len(self.rank))
-        return known
+        while taken.get(state * size + label, before) >= before:
+            made, came = rank[label], rank[state]
+            if made > came:
+                # In a run of u, the pair is taken from the left: u, uu never follow.
+                if first[label] == state and last[label] == state:
+                    return False
+                label, before = first[label], made
+            elif came < 0:
+                return True
+            elif state == label:
+                state, label, before = last[state], first[label], made
+            else:
+                state, before = last[state], came
+        return False
 
 
 def _byte_symbols() -> dict[int, str]:
@@ -127,57 +127,35 @@ class WordCodec:
         inner = {k: v for k, v in in_words.items() if not k.endswith(self.suffix)}
         self.final = {k[: -len(self.suffix)]: v for k, v in in_words.items() if k.endswith(self.suffix)}
         self.longest = max(map(len, chain(inner, self.final)))
-        # Labels, and -1 for what is only the beginning of one.
-        self.pieces = {k[:n]: -1 for k in inner for n in range(1, len(k))} | inner
+        self.inner = inner
         self.symbols = str.maketrans(_byte_symbols())
         marks = "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))
         self.marks = regex.compile(f"({marks})") if marks else None
         self.known = _Words(self)
 
-    def encode_word(self, word: str) -> tuple[int, ...]:
-        """The one path through the automaton that this word labels.
-
-        Long labels are tried first. A position is reached by one valid path at most, so
-        one from which the end can't be reached is never tried again.
-        """
+    def encode_word(self, word: str) -> list[int]:
+        """The one path through the automaton that this word labels."""
         symbols = word.encode().decode("latin-1").translate(self.symbols)
         size = len(symbols)
-        whole = self.final.get(symbols)
-        if whole is not None:
-            return (whole,)
-        pieces, final, longest = self.pieces, self.final, self.longest
-        has_arc = self.automaton.has_arc
-        path: list[int] = []
-        reached = [0]
-        hopeless: set[int] = set()
-        choices: list[list[tuple[int, int]]] = []
-        while reached[-1] < size:
-            here = reached[-1]
-            if len(choices) < len(reached):
-                found = []
-                for end in range(here + 1, min(size, here + longest + 1)):
-                    label = pieces.get(symbols[here:end])
-                    if label is None:
-                        break
-                    if label >= 0:
-                        found.append((end, label))
-                if size - here <= longest and (label := final.get(symbols[here:])) is not None:
-                    found.append((size, label))
-                choices.append(found)
-            open_choices = choices[-1]
-            while open_choices:
-                end, label = open_choices.pop()
-                if end not in hopeless and (not path or has_arc(path[-1], label)):
-                    path.append(label)
-                    reached.append(end)
+        longest, has_arc, ranks = self.longest, self.automaton.has_arc, self.automaton.ranks
+        # The label that leads to each position, and the position it comes from.
+        label_to, come_from = [0] * (size + 1), [0] * (size + 1)
+        find = self.inner.get
+        for end in range(1, size + 1):
+            if end == size:
+                find = self.final.get
+            for start in range(max(0, end - longest), end):
+                label = find(symbols[start:end])
+                if label is not None and (start == 0 or has_arc(label_to[start], label, ranks)):
+                    label_to[end], come_from[end] = label, start
                     break
             else:
-                if not path:
-                    raise ValueError(f"no path for {word[:100]!r}: a symbol is not in the vocabulary")
-                choices.pop()
-                path.pop()
-                hopeless.add(reached.pop())
-        return tuple(path)
+                raise ValueError(f"no path for {word[:100]!r}: a symbol is not in the vocabulary")
+        path = []
+        while size:
+            path.append(label_to[size])
+            size = come_from[size]
+        return path[::-1]
 
     def words(self, text: str) -> list[str]:
         """Normalised words: composed, in lower case character by character."""
@@ -206,9 +184,9 @@ class _Words(dict):
 
     def __init__(self, codec: WordCodec):
         self.codec = codec
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, list[int]] = {}
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, word: str) -> list[int]:
         path = self.older.get(word)
         if path is None:
             path = self.codec.encode_word(word)
