@@ -5,7 +5,10 @@ benchmark term in a training document; occurrences of other terms can't be part
 a benchmark phrase, but keep their positions. A phrase is looked up by its terms
 in order of rarity: the postings of its rarest term, shifted by the term's offset,
 are the possible places of the phrase, and are intersected with the shifted postings
-of each further term. Only DataFrame functions are used.
+of each further term. Proximity matches start from the same rarest terms: every other
+term of the window has to occur within SPAN words, in any order; postings meet in
+buckets of positions, so a long document costs no more than many short ones. Only DataFrame
+functions are used.
 
 Words are maximal runs of digits, a-z and characters beyond ASCII, after A-Z are
 lower-cased. A null text has no words. Documents are told apart by doc_id and
@@ -19,6 +22,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from daybook.llm.common import column, lower_ascii, packed, stored, text_of, unpacked
 
 WINDOW = 10
+# How far the words of a near match may lie from its rarest word.
+SPAN = 12
 # How many of a window's rarest terms are intersected before whole documents' lists are.
 RAREST = 2
 
@@ -30,10 +35,6 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(lower_ascii(text), F.lit(f"({_WORD}+)"), F.lit(1))
 
 
-def count_words(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")).cast("long")
-
-
 def benchmark_windows(
     benchmark: DataFrame, item_id: str = "item_id", text: str = "text", size: int = WINDOW
 ) -> DataFrame:
@@ -54,6 +55,12 @@ def benchmark_windows(
     )
 
 
+_DOC = ["doc", "content"]
+_PLACE = [*_DOC, "window", "length", "start"]
+# What no text has as a word, and the term it stands for.
+_NO_WORD, _TOTAL = "\0", -1
+
+
 class PositionalIndex:
     """Postings of the benchmark's terms in the documents, and the terms of its windows.
 
@@ -76,7 +83,12 @@ class PositionalIndex:
                 F.monotonically_increasing_id().alias("term"),
             )
         )
-        self.postings = stored(self._occurrences(docs, terms, doc_id, text))
+        found = stored(self._occurrences(docs, terms, doc_id, text))
+        self.postings = found.where(F.col("term") != _TOTAL)
+        # Per row of docs: how many words it has.
+        self.sizes = found.where(F.col("term") == _TOTAL).select(
+            *_DOC, F.col("position").cast("long").alias("n_words")
+        )
         frequency = self.postings.groupBy("term").agg(F.count("*").alias("n"))
         in_order = self.windows.select(
             "window", F.size("words").alias("length"), F.posexplode("words").alias("offset", "spelling")
@@ -100,7 +112,9 @@ class PositionalIndex:
     def _occurrences(docs, terms, doc_id, text) -> DataFrame:
         """(term, doc, content, position); the position counts all words of a document.
 
-        Words are matched ignoring all case first, which is fast, then exactly.
+        Words are matched ignoring all case first, which is fast, then exactly. A posting of the
+        term _TOTAL for each row has its number of words as position, so that texts are
+        split only once.
         """
         body = text_of(text)
         split = docs.select(
@@ -108,12 +122,21 @@ class PositionalIndex:
             F.xxhash64(body).alias("content"),
             F.split(body, _BETWEEN).alias("words"),
         )
-        words = split.select("doc", "content", F.posexplode("words").alias("position", "word"))
+        # Before the first and after the last separator may be nothing.
+        edges = [F.when(F.element_at("words", at) == "", 1).otherwise(0) for at in (1, -1)]
+        total = F.greatest(F.size("words") - edges[0] - edges[1], F.lit(0))
+        marked = split.select(*_DOC, total.alias("total"), F.concat(F.array(F.lit(_NO_WORD)), "words").alias("words"))
+        words = marked.select(*_DOC, "total", F.posexplode("words").alias("position", "word"))
         word, spelling = F.col("word"), F.col("spelling")
+        own = terms.sparkSession.range(1).select(
+            F.lit(_NO_WORD).alias("spelling"), F.lit(_NO_WORD).alias("folded"), F.lit(_TOTAL).cast("long").alias("term")
+        )
         return (
-            words.join(terms, F.lower(word) == F.col("folded"))
+            words.join(terms.unionByName(own), F.lower(word) == F.col("folded"))
             .where((word == spelling) | (lower_ascii(word) == spelling))
-            .select("term", "doc", "content", "position")
+            .select(
+                "term", *_DOC, F.when(F.col("term") == _TOTAL, F.col("total")).otherwise(F.col("position")).alias("position")
+            )
         )
 
     def places(self, ranks: Column) -> DataFrame:
@@ -128,10 +151,6 @@ class PositionalIndex:
         return self.postings.alias("p").join(some.alias("s"), _same_doc("p", "s"), "left_semi")
 
 
-_DOC = ["doc", "content"]
-_PLACE = [*_DOC, "window", "length", "start"]
-
-
 def _same_doc(left: str, right: str) -> Column:
     same = F.col(f"{left}.doc").eqNullSafe(F.col(f"{right}.doc"))
     return same & (F.col(f"{left}.content") == F.col(f"{right}.content"))
@@ -162,36 +181,52 @@ def find_phrases(index: PositionalIndex) -> DataFrame:
     return whole.unionByName(few.where(F.col("length") <= RAREST))
 
 
-def find_near(index: PositionalIndex, span: int) -> DataFrame:
+def find_near(index: PositionalIndex, span: int = SPAN) -> DataFrame:
     """doc, content and window wherever all of a window's words lie, in any order,
     within span words of an occurrence of the rarest of them."""
-    anchors = stored(
-        index.places(F.col("rank") == 1).withColumn("rarest", F.col("start")).drop("rank", "start")
+    bucket = F.floor(F.col("position") / (span + 1))
+    # A term that a window repeats has to occur once; ranks number the different terms.
+    order = Window.partitionBy("window").orderBy("rank")
+    terms = stored(
+        index.terms.groupBy("window", "term")
+        .agg(F.min("rank").alias("rank"))
+        .select("window", "term", F.row_number().over(order).alias("rank"))
     )
-    # A place is the start a window would have; the anchor itself is offset from it.
-    offset = index.terms.where("rank = 1").select("window", "offset")
-    anchors = anchors.join(offset, "window").withColumn(
-        "anchor", F.col("rarest") + F.col("offset")
-    )
-    others = index.terms.select("window", "term").distinct()
-    wanted = others.groupBy("window").agg(F.count("*").alias("wanted"))
-    expected = anchors.drop("offset", "rarest").join(others, "window")
-    near = F.abs(F.col("e.anchor") - F.col("p.position")) <= span
-    return (
-        expected.alias("e")
-        .join(
-            index.postings_of(anchors).alias("p"),
-            _same_doc("e", "p") & F.expr("e.term = p.term") & near,
+    wanted = terms.groupBy("window").agg(F.count("*").alias("wanted"))
+
+    def confirmed(anchors: DataFrame, ranks: Column) -> DataFrame:
+        """(doc, content, window, anchor, term) for terms of these ranks that occur near an anchor."""
+        some = terms.where(ranks)
+        around = F.explode(F.array(*(F.floor(F.col("anchor") / (span + 1)) + i for i in (-1, 0, 1))))
+        expected = anchors.join(some.select("window", "term"), "window").withColumn("bucket", around)
+        postings = index.postings.join(some.select("term").distinct(), "term", "left_semi")
+        near = F.abs(F.col("e.anchor") - F.col("p.position")) <= span
+        return (
+            expected.alias("e")
+            .join(
+                postings.withColumn("bucket", bucket).alias("p"),
+                _same_doc("e", "p") & F.expr("e.term = p.term AND e.bucket = p.bucket") & near,
+            )
+            .select("e.doc", "e.content", "e.window", "e.anchor", "e.term")
+            .distinct()
         )
-        .select("e.*")
-        .distinct()
+
+    first = index.postings.join(terms.where("rank = 1"), "term").select(
+        *_DOC, "window", F.col("position").alias("anchor")
+    )
+    # Most places fail at the second term already.
+    second = stored(confirmed(first, F.col("rank") == 2).drop("term"))
+    found = (
+        confirmed(second, F.col("rank") > 2)
         .groupBy(*_DOC, "window", "anchor")
-        .agg(F.count("*").alias("found"))
+        .agg((F.count("*") + 2).alias("found"))
         .join(wanted, "window")
         .where("found = wanted")
-        .select(*_DOC, "window")
-        .distinct()
     )
+    ones = first.join(wanted.where("wanted = 1"), "window")
+    twos = second.join(wanted.where("wanted = 2"), "window")
+    parts = [part.select(*_DOC, "window") for part in (found, ones, twos)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).distinct()
 
 
 def find_contamination(
@@ -203,47 +238,58 @@ def find_contamination(
     item_text: str = "text",
     size: int = WINDOW,
 ) -> DataFrame:
-    """Per row of docs: doc, content, n_words, n_hit, n_items, items_sha256, contaminated.
+    """Per row of docs: doc, content, n_words, n_hit, n_items, items_sha256, contaminated, n_near, near_sha256.
 
     n_hit counts the words inside any occurrence of a window of size words,
     n_items the benchmark items with such a window; items_sha256 is the digest of
-    their ids, sorted as strings and joined by commas. content, a hash of the text, tells
-    apart rows that share a doc_id.
+    their ids, sorted as strings and joined by commas. n_near and near_sha256 say the same of
+    items with a window whose words all lie near each other (see find_near), in any
+    order; they don't make a document contaminated. content, a hash of the text, tells
+    apart rows that share a doc_id. Very long texts are split whole.
     """
     index = PositionalIndex(docs, benchmark, doc_id, text, item_id, item_text, size)
     matches = stored(find_phrases(index))
     spans = F.explode(F.expr("sequence(start, start + length - 1)")).alias("position")
     hits = matches.select(*_DOC, spans).distinct().groupBy(*_DOC).agg(F.count("*").alias("n_hit"))
-    items = (
-        matches.select(*_DOC, "window")
-        .distinct()
-        .join(index.windows.select("window", F.explode("items").alias("item")), "window")
-        .groupBy(*_DOC)
-        .agg(F.array_sort(F.collect_set("item")).alias("items"))
-    )
+
+    def items_of(found: DataFrame, name: str) -> DataFrame:
+        return (
+            found.select(*_DOC, "window")
+            .distinct()
+            .join(index.windows.select("window", F.explode("items").alias("item")), "window")
+            .groupBy(*_DOC)
+            .agg(F.array_sort(F.collect_set("item")).alias(name))
+        )
+
     found = stored(
         hits.alias("h")
-        .join(items.alias("i"), _same_doc("h", "i"))
+        .join(items_of(matches, "items").alias("i"), _same_doc("h", "i"))
         .select("h.doc", "h.content", "n_hit", "items")
     )
-    body = text_of(text)
-    counted = docs.select(
-        column(doc_id).alias("doc"), F.xxhash64(body).alias("content"), count_words(body).alias("n_words")
-    )
+    near = stored(items_of(find_near(index), "near"))
     none = F.array().cast("array<string>")
-    listed = F.concat_ws(",", F.coalesce("items", none))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
+
+    def count(items: str) -> Column:
+        return F.size(F.coalesce(items, none)).cast("long")
+
+    def digest(items: str) -> Column:
+        return F.sha2(F.concat_ws(",", F.coalesce(items, none)), 256)
+
     return (
-        counted.alias("d")
+        index.sizes.alias("d")
         .join(found.alias("f"), _same_doc("d", "f"), "left")
+        .join(near.alias("n"), _same_doc("d", "n"), "left")
         .select(
             "d.doc",
             "d.content",
             "n_words",
             n_hit.alias("n_hit"),
-            F.size(F.coalesce("items", none)).cast("long").alias("n_items"),
-            F.sha2(listed, 256).alias("items_sha256"),
+            count("items").alias("n_items"),
+            digest("items").alias("items_sha256"),
             (n_hit > 0).alias("contaminated"),
+            count("near").alias("n_near"),
+            digest("near").alias("near_sha256"),
         )
     )
 

@@ -83,11 +83,38 @@ items AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
   FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found)
   GROUP BY doc_id
+),
+terms AS (
+  SELECT words, w, min(place) AS place
+  FROM (SELECT words, unnest(words) AS w, generate_subscripts(words, 1) AS place FROM (SELECT DISTINCT words FROM windows))
+  GROUP BY words, w
+),
+positions AS (
+  SELECT * FROM (SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS position FROM doc_words)
+  WHERE w IN (SELECT w FROM terms)
+),
+frequencies AS (SELECT w, count(*) AS n FROM positions GROUP BY w),
+rarest AS (
+  SELECT words, arg_min(w, struct_pack(n := coalesce(n, 0), place := place)) AS w, count(*) AS wanted
+  FROM terms LEFT JOIN frequencies USING (w) GROUP BY words HAVING min(coalesce(n, 0)) > 0
+),
+anchors AS (SELECT words, wanted, doc_id, position FROM rarest JOIN positions USING (w)),
+near AS (
+  SELECT DISTINCT words, doc_id FROM (
+    SELECT a.words, a.doc_id, a.position FROM anchors a JOIN terms t ON t.words = a.words
+    JOIN positions p ON p.doc_id = a.doc_id AND p.w = t.w AND abs(p.position - a.position) <= 12
+    GROUP BY a.words, a.doc_id, a.position, a.wanted HAVING count(DISTINCT t.w) = a.wanted)
+),
+near_items AS (
+  SELECT doc_id, count(*) AS n_near, string_agg(item, ',' ORDER BY item) AS near_listed
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM near JOIN windows USING (words))
+  GROUP BY doc_id
 )
 SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit,
   coalesce(n_items, 0) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
-  coalesce(n_hit, 0) > 0 AS contaminated
-FROM doc_words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+  coalesce(n_hit, 0) > 0 AS contaminated,
+  coalesce(n_near, 0) AS n_near, sha256(coalesce(near_listed, '')) AS near_sha256
+FROM doc_words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near_items USING (doc_id)
 """,
     "op8_url_filter": _url_filter(),
     "op11_lexical": f"""

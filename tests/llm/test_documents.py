@@ -1,5 +1,6 @@
 """Operators on documents, against brute force on awkward rows."""
 
+import collections
 import hashlib
 import random
 import re
@@ -350,16 +351,24 @@ def contamination_expected(rows, items):
         words = words_of(text)
         for i in range(max(1, len(words) - 9) if words else 0):
             windows.setdefault(tuple(words[i : i + 10]), set()).add("" if item is None else str(item))
+    counts = collections.Counter(word for row in rows for word in words_of(row[1]))
     expected = []
     for doc_id, text, *_ in rows:
         words, hit, found = words_of(text), set(), set()
+        near = set()
+        for window, names in windows.items():
+            rarest = min(window, key=lambda word: (counts[word], window.index(word)))
+            for place, word in enumerate(words):
+                if word == rarest and set(window) <= set(words[max(0, place - 12) : place + 13]):
+                    near |= names
         for window, names in windows.items():
             for start in range(len(words) - len(window) + 1):
                 if tuple(words[start : start + len(window)]) == window:
                     hit.update(range(start, start + len(window)))
                     found |= names
         listed = sha(",".join(sorted(found)))
-        expected.append((doc_id, len(words), len(hit), len(found), listed, bool(hit)))
+        nearby = sha(",".join(sorted(near)))
+        expected.append((doc_id, len(words), len(hit), len(found), listed, bool(hit), len(near), nearby))
     return ordered(expected)
 
 
@@ -375,6 +384,9 @@ SUSPECTS = [
     (53, "a SHORT-item, single " + "the " * 13, "en", "s", 1),
     (53, "another text of the same doc: short item", "en", "s", 1),
     (54, PASSAGE.replace("Ö", "ö") + " " + PASSAGE + " " + PASSAGE, "en", "s", 1),
+    (55, PASSAGE.replace("jumps over", "jumps INSERTED over").replace("cat", "cat ADDED"), "en", "s", 1),
+    (56, "item, not so short " + "filler " * 30 + " ".join(PASSAGE.split()[9::-1]), "en", "s", 1),
+    (57, "?short " + "x " * 30 + "item!", "en", "s", 1),
 ]
 
 
@@ -389,6 +401,8 @@ def test_contamination_equals_brute_force(spark):
     expected = contamination_expected(rows, ITEMS)
     assert found_contamination(frame(spark, rows), benchmark) == expected
     assert sum(row[5] for row in expected) == 6
+    # Inserted words, or another order: near, but not exact.
+    assert {row[0] for row in expected if row[6] and not row[5]} >= {55, 56}
     kept = decontamination.drop_contaminated(frame(spark, rows), benchmark)
     assert ordered(tuple(r) for r in kept.select("doc_id", "text").collect()) == ordered(
         (r[0], r[1]) for r, e in zip(rows, [contamination_expected([r], ITEMS)[0] for r in rows]) if not e[5]
