@@ -5,9 +5,9 @@ with at most four differing bits agree in at least two of the blocks. Such a pai
 bits are the mask of the index's upper nodes; all fingerprints below a node share
 that pattern, so a search opens only the one node with its own pattern, and all others
 are pruned without a look. Within a node the fingerprints are sorted by Gray rank,
-which puts those that differ in few bits side by side, and cut into runs. A run is again
-described by the bits its members share; the differences in those bits are
-accumulated from node to run, and a run with too many is passed over as a whole.
+which puts those that differ in few bits side by side, and form a tree whose nodes are
+again described by the bits that all below share; the differences in those bits
+accumulate on the way down, and a node with too many is passed over as a whole.
 
 A node of very many fingerprints is cut into parts, and each pair of parts is searched by
 a task of its own. Equal fingerprints count once throughout. A node reports links that
@@ -34,38 +34,43 @@ BITS = 64
 _BLOCKS = MAX_DIFFERENCES + 2
 # Fingerprints of a node that are searched together; larger nodes are cut into parts.
 PART_SIZE = 4096
-_RUN = 64
-_FEW = 32
+# Children of a node of an index's tree.
+_CHILDREN = 16
+_EACH = np.arange(_CHILDREN)
 
 
-def shingle_hashes(text: str, words: int) -> list[int]:
-    """The hash of each of the text's shingles, in order.
+# Hashes of a text held at a time.
+_HASHES = 65536
+
+
+def shingle_hashes(text: str, words: int) -> Iterator[np.ndarray]:
+    """The hashes of the text's shingles, in order, some at a time.
 
     A-Z are lower-cased; words are parted by ASCII white space; fewer words than a
     shingle takes are one shingle; no words give none.
     """
     parts = text.encode().lower().split()
     if not parts:
-        return []
+        return
     joined = b" ".join(parts)
     ends = np.cumsum([len(part) + 1 for part in parts]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     width = min(words, len(parts))
+    starts, ends = starts[: len(parts) - width + 1], ends[width - 1 :]
     digest = xxhash.xxh64_intdigest
-    return [
-        digest(joined[a:b], SEED)
-        for a, b in zip(starts[: len(parts) - width + 1].tolist(), ends[width - 1 :].tolist())
-    ]
+    for first in range(0, len(starts), _HASHES):
+        some = slice(first, first + _HASHES)
+        pairs = zip(starts[some].tolist(), ends[some].tolist())
+        yield np.array([digest(joined[a:b], SEED) for a, b in pairs], dtype=">u8")
 
 
 def fingerprint(text: str, words: int = SHINGLE_WORDS) -> int:
     """Bits set in more than half of the hashes of the text's shingles; 0 without words."""
-    hashes = shingle_hashes(text, words)
-    counts = np.zeros(BITS, np.int64)
-    for block in range(0, len(hashes), 65536):  # bounds the memory for long texts
-        some = np.array(hashes[block : block + 65536], dtype=">u8")
+    counts, total = np.zeros(BITS, np.int64), 0
+    for some in shingle_hashes(text, words):
         counts += np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-    bits = np.packbits(2 * counts > len(hashes))
+        total += len(some)
+    bits = np.packbits(2 * counts > total)
     return int.from_bytes(bits.tobytes(), "big")
 
 
@@ -106,26 +111,34 @@ def gray_rank(values: np.ndarray) -> np.ndarray:
 
 
 class GrayIndex:
-    """A node's fingerprints in Gray order, in runs with their shared bits."""
+    """A tree over fingerprints in Gray order; each of its nodes knows the bits that all below it share."""
 
     def __init__(self, values: np.ndarray):
         self.values = values[np.argsort(gray_rank(values), kind="stable")]
-        starts = np.arange(0, len(values), _RUN)
-        every = np.bitwise_and.reduceat(self.values, starts)
-        some = np.bitwise_or.reduceat(self.values, starts)
-        self.starts = starts
-        self.shared = ~(every ^ some)
-        self.pattern = every & self.shared
+        # From the root down: (pattern, mask) of every node, the children of one side by side.
+        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
+        every = some = self.values
+        while not self.levels or len(every) > 1:
+            starts = np.arange(0, len(every), _CHILDREN)
+            every, some = np.bitwise_and.reduceat(every, starts), np.bitwise_or.reduceat(some, starts)
+            mask = ~(every ^ some)
+            self.levels.insert(0, (every & mask, mask))
 
     def near(self, value: np.uint64) -> np.ndarray:
-        """Places of fingerprints with at most MAX_DIFFERENCES differing bits."""
-        accumulated = np.bitwise_count((value ^ self.pattern) & self.shared)
-        runs = np.flatnonzero(accumulated <= MAX_DIFFERENCES)
-        if not len(runs):
-            return runs
-        places = (self.starts[runs][:, None] + np.arange(_RUN)).ravel()
-        places = places[places < len(self.values)]
-        return places[np.bitwise_count(self.values[places] ^ value) <= MAX_DIFFERENCES]
+        """Places of fingerprints with at most MAX_DIFFERENCES differing bits.
+
+        A node's mask holds that of the node above, so differences accumulate on the way
+        down, and a node with too many is left with all below it.
+        """
+        nodes = np.zeros(1, np.int64)
+        sizes = [len(pattern) for pattern, _ in self.levels[1:]] + [len(self.values)]
+        for (pattern, mask), below in zip(self.levels, sizes):
+            nodes = nodes[np.bitwise_count((value ^ pattern[nodes]) & mask[nodes]) <= MAX_DIFFERENCES]
+            if not len(nodes):
+                return nodes
+            nodes = (nodes[:, None] * _CHILDREN + _EACH).ravel()
+            nodes = nodes[nodes < below]
+        return nodes[np.bitwise_count(self.values[nodes] ^ value) <= MAX_DIFFERENCES]
 
     def links(self) -> Iterator[tuple[int, int]]:
         """Links that join all fingerprints which near ones connect."""
@@ -140,17 +153,6 @@ class GrayIndex:
                 near = near[group[near] != group[place]]
 
 
-def _few_links(values: np.ndarray, cells: np.ndarray) -> Iterator[np.ndarray]:
-    """Pairs of near fingerprints in small cells; rows are sorted by cell."""
-    for distance in range(1, _FEW):
-        left, right = values[:-distance], values[distance:]
-        same = cells[:-distance] == cells[distance:]
-        if not same.any():
-            return
-        near = same & (np.bitwise_count(left ^ right) <= MAX_DIFFERENCES)
-        yield np.stack([left[near], right[near]], axis=1)
-
-
 def _search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Links within each cell of rows that are sorted by cell.
 
@@ -166,16 +168,11 @@ def _search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         starts = np.concatenate(([0], changes))
         sizes = np.diff(np.concatenate((starts, [len(rows)])))
         values = np.ascontiguousarray(rows[:, 3]).view(np.uint64)
-        cells = np.repeat(np.arange(len(starts)), sizes)
-        few = np.repeat((sizes > 1) & (sizes <= _FEW), sizes)
-        found = list(_few_links(values[few], cells[few]))
-        for start, size in zip(starts[sizes > _FEW], sizes[sizes > _FEW]):
-            pairs = list(GrayIndex(values[start : start + size]).links())
-            if pairs:
-                found.append(np.array(pairs, dtype=np.uint64))
-        found = [pairs for pairs in found if len(pairs)]
+        found = []
+        for start, size in zip(starts[sizes > 1].tolist(), sizes[sizes > 1].tolist()):
+            found += GrayIndex(values[start : start + size]).links()
         if found:
-            pairs = np.concatenate(found).view(np.int64)
+            pairs = np.array(found, dtype=np.uint64).view(np.int64)
             yield pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     for batch in batches:

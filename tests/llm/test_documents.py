@@ -194,6 +194,20 @@ def test_gray_rank_orders_the_reflected_sequence():
     assert simhash.gray_rank(sequence).tolist() == list(range(64))
 
 
+@pytest.mark.parametrize("size", [1, 2, 15, 16, 17, 300, 5000])
+def test_gray_index_finds_all_near_and_prunes_groups(size):
+    rng = np.random.default_rng(size)
+    values = rng.integers(0, 2**63, size, dtype=np.uint64)
+    values = np.unique(np.concatenate([values, values ^ (np.uint64(1) << rng.integers(0, 64, size).astype(np.uint64))]))
+    index = simhash.GrayIndex(values)
+    assert sorted(index.values.tolist()) == sorted(values.tolist())
+    for value in values[:: max(1, size // 50)]:
+        found = set(index.values[index.near(value)].tolist())
+        assert found == set(values[np.bitwise_count(values ^ value) <= 4].tolist())
+    for (_, upper), (_, lower) in zip(index.levels, index.levels[1:]):
+        assert (upper[np.arange(len(lower)) // 16] & ~lower == 0).all()
+
+
 def test_one_document_of_each_component_stays(spark):
     df = frame(spark, [r for r in ROWS if r[0] not in (None, 2)])
     kept = simhash.drop_near_duplicates(df)
