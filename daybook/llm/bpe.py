@@ -19,6 +19,7 @@ compared with, not to encode.
 """
 
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 from functools import lru_cache
@@ -34,6 +35,7 @@ from daybook.llm.common import column, ship_library
 
 # Words in either of the two generations of a worker's cache.
 MAX_CACHED_WORDS = 100_000
+MAX_CACHED_ARCS = 300_000
 # Texts whose ids are held at a time.
 _ROWS = 1000
 # No word longer than this is cached.
@@ -92,6 +94,20 @@ class MergeAutomaton:
         return False
 
 
+class _Arcs(dict):
+    """Arcs that words have met, by state * size + label; starts anew when full."""
+
+    def __init__(self, automaton: MergeAutomaton):
+        self.automaton = automaton
+
+    def __missing__(self, arc: int) -> bool:
+        if len(self) >= MAX_CACHED_ARCS:
+            self.clear()
+        state, label = divmod(arc, self.automaton.size)
+        found = self[arc] = self.automaton.has_arc(state, label, self.automaton.ranks)
+        return found
+
+
 def _byte_symbols() -> dict[int, str]:
     """Printable stand-ins for bytes: themselves, or those from U+0100 on."""
     printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -107,6 +123,12 @@ class WordCodec:
         r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
     )
 
+    # The same for texts within Latin-1, where it can be said in plain classes, which is faster.
+    _LETTERS, _NUMBERS, _WHITE = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
+    LATIN_WORDS = re.compile(
+        f"[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{_NUMBERS}]|[^{_WHITE}{_LETTERS}{_NUMBERS}]+"
+    )
+
     def __init__(self, model: str):
         spec = json.loads(model)
         bpe = spec["model"]
@@ -127,41 +149,55 @@ class WordCodec:
         inner = {k: v for k, v in in_words.items() if not k.endswith(self.suffix)}
         self.final = {k[: -len(self.suffix)]: v for k, v in in_words.items() if k.endswith(self.suffix)}
         self.longest = max(map(len, chain(inner, self.final)))
-        self.inner = inner
+        self.inner, self.arcs = inner, _Arcs(self.automaton)
         self.symbols = str.maketrans(_byte_symbols())
         marks = "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))
         self.marks = regex.compile(f"({marks})") if marks else None
         self.known = _Words(self)
 
-    def encode_word(self, word: str) -> list[int]:
+    def encode_word(self, word: str) -> tuple[int, ...]:
         """The one path through the automaton that this word labels."""
         symbols = word.encode().decode("latin-1").translate(self.symbols)
         size = len(symbols)
-        longest, has_arc, ranks = self.longest, self.automaton.has_arc, self.automaton.ranks
+        longest, inner, arcs, width = self.longest, self.inner, self.arcs, self.automaton.size
         # The label that leads to each position, and the position it comes from.
         label_to, come_from = [0] * (size + 1), [0] * (size + 1)
-        find = self.inner.get
-        for end in range(1, size + 1):
-            if end == size:
-                find = self.final.get
-            for start in range(max(0, end - longest), end):
-                label = find(symbols[start:end])
-                if label is not None and (start == 0 or has_arc(label_to[start], label, ranks)):
+        for end in range(1, size):
+            label = inner.get(symbols[:end]) if end <= longest else None
+            if label is not None:
+                label_to[end] = label
+                continue
+            for start in range(max(1, end - longest), end):
+                label = inner.get(symbols[start:end])
+                if label is not None and arcs[label_to[start] * width + label]:
                     label_to[end], come_from[end] = label, start
                     break
             else:
                 raise ValueError(f"no path for {word[:100]!r}: a symbol is not in the vocabulary")
+        for start in range(max(0, size - longest), size):
+            label = self.final.get(symbols[start:])
+            if label is not None and (not start or arcs[label_to[start] * width + label]):
+                label_to[size], come_from[size] = label, start
+                break
+        else:
+            raise ValueError(f"no path for {word[:100]!r}: a symbol is not in the vocabulary")
         path = []
         while size:
             path.append(label_to[size])
             size = come_from[size]
-        return path[::-1]
+        path.reverse()
+        return tuple(path)
 
     def words(self, text: str) -> list[str]:
         """Normalised words: composed, in lower case character by character."""
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return self.WORDS.findall(text.lower())
+        text = text.lower()
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.WORDS.findall(text)
+        return self.LATIN_WORDS.findall(text)
 
     def encode(self, text: str) -> np.ndarray:
         known = self.known.__getitem__
@@ -184,9 +220,9 @@ class _Words(dict):
 
     def __init__(self, codec: WordCodec):
         self.codec = codec
-        self.older: dict[str, list[int]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
-    def __missing__(self, word: str) -> list[int]:
+    def __missing__(self, word: str) -> tuple[int, ...]:
         path = self.older.get(word)
         if path is None:
             path = self.codec.encode_word(word)
