@@ -34,10 +34,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from daybook.llm.common import column, ship_library
 
 # Words in either of the two generations of a worker's cache.
-MAX_CACHED_WORDS = 100_000
-MAX_CACHED_ARCS = 300_000
+MAX_CACHED_WORDS = 80_000
+MAX_CACHED_ARCS = 100_000
 # Texts whose ids are held at a time.
-_ROWS = 1000
+_ROWS = 250
 # No word longer than this is cached.
 MAX_CACHED_LENGTH = 100
 
@@ -210,6 +210,12 @@ class WordCodec:
                 ids = chain(ids, chain.from_iterable(map(known, self.words(part))))
         return np.fromiter(ids, np.int32)
 
+    def forget(self) -> None:
+        """Drop what was remembered of words and arcs."""
+        self.known.clear()
+        self.known.older = {}
+        self.arcs.clear()
+
     def decode(self, ids: Iterable[int]) -> str:
         """The labels, word ends included, joined by spaces."""
         return " ".join(map(self.labels.__getitem__, ids))
@@ -299,5 +305,7 @@ def encode_and_decode(
                 texts = [codec.decode(some.tolist()) for some in ids]
                 columns = [part["doc_id"], pa.array(ids, pa.list_(pa.int32())), pa.array(texts)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"])
+        # Workers stay for later stages, which need their memory.
+        codec.forget()
 
     return rows.mapInArrow(encoded, schema)

@@ -44,7 +44,7 @@ _CHARACTERS, _WORD_BUCKETS = 128, 128
 _LANGUAGES, _SOURCES, _SIZES = 8, 32, 24
 TEXT_WIDTH = _CHARACTERS + _WORD_BUCKETS + 4
 PAGE_WIDTH = _LANGUAGES + _SOURCES + _SIZES + 4
-_MAX_CACHED = 100_000
+_MAX_CACHED = 30_000
 # Documents whose features are held at a time.
 _ROWS = 500
 _UNIT = float(1 << 20)
