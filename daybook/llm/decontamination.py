@@ -68,7 +68,7 @@ class PositionalIndex:
     knows their size: it broadcasts them while they are small, and else shuffles.
     """
 
-    def __init__(self, docs, benchmark, doc_id, text, item_id, item_text, size):
+    def __init__(self, docs, benchmark, doc_id, text, item_id, item_text, size, count_words=True):
         self.windows = stored(
             benchmark_windows(benchmark, item_id, item_text, size).withColumn(
                 "window", F.monotonically_increasing_id()
@@ -83,9 +83,9 @@ class PositionalIndex:
                 F.monotonically_increasing_id().alias("term"),
             )
         )
-        found = stored(self._occurrences(docs, terms, doc_id, text))
+        found = stored(self._occurrences(docs, terms, doc_id, text, count_words))
         self.postings = found.where(F.col("term") != _TOTAL)
-        # Per row of docs: how many words it has.
+        # Per row of docs: how many words it has, if they are counted.
         self.sizes = found.where(F.col("term") == _TOTAL).select(
             *_DOC, F.col("position").cast("long").alias("n_words")
         )
@@ -109,7 +109,7 @@ class PositionalIndex:
         )
 
     @staticmethod
-    def _occurrences(docs, terms, doc_id, text) -> DataFrame:
+    def _occurrences(docs, terms, doc_id, text, count_words) -> DataFrame:
         """(term, doc, content, position); the position counts all words of a document.
 
         Words are matched ignoring all case first, which is fast, then exactly. A posting of the
@@ -122,18 +122,23 @@ class PositionalIndex:
             F.xxhash64(body).alias("content"),
             F.split(body, _BETWEEN).alias("words"),
         )
+        word, spelling = F.col("word"), F.col("spelling")
+        same = (word == spelling) | (lower_ascii(word) == spelling)
+        if not count_words:
+            words = split.select(*_DOC, F.posexplode("words").alias("position", "word"))
+            found = words.join(terms, F.lower(word) == F.col("folded")).where(same)
+            return found.select("term", *_DOC, "position")
         # Before the first and after the last separator may be nothing.
         edges = [F.when(F.element_at("words", at) == "", 1).otherwise(0) for at in (1, -1)]
         total = F.greatest(F.size("words") - edges[0] - edges[1], F.lit(0))
         marked = split.select(*_DOC, total.alias("total"), F.concat(F.array(F.lit(_NO_WORD)), "words").alias("words"))
         words = marked.select(*_DOC, "total", F.posexplode("words").alias("position", "word"))
-        word, spelling = F.col("word"), F.col("spelling")
         own = terms.sparkSession.range(1).select(
             F.lit(_NO_WORD).alias("spelling"), F.lit(_NO_WORD).alias("folded"), F.lit(_TOTAL).cast("long").alias("term")
         )
         return (
             words.join(terms.unionByName(own), F.lower(word) == F.col("folded"))
-            .where((word == spelling) | (lower_ascii(word) == spelling))
+            .where(same)
             .select(
                 "term", *_DOC, F.when(F.col("term") == _TOTAL, F.col("total")).otherwise(F.col("position")).alias("position")
             )
@@ -298,7 +303,7 @@ def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """The rows of docs that hold no window of the benchmark, with all columns."""
-    index = PositionalIndex(docs, benchmark, doc_id, text, "item_id", "text", WINDOW)
+    index = PositionalIndex(docs, benchmark, doc_id, text, "item_id", "text", WINDOW, count_words=False)
     found = stored(find_phrases(index).select(*_DOC).distinct())
     rows = docs.select(
         packed(docs.columns).alias("row"),
