@@ -2,6 +2,8 @@
 
 import re
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
@@ -58,6 +60,22 @@ def new_table(spark: SparkSession) -> dict[str, str]:
     return {"name": name, "path": path}
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession) -> Iterator[str]:
+    """A path for scratch files that goes, with all below it, at the end of the block."""
+    path = new_path(spark)
+    try:
+        yield path
+    finally:
+        _delete(spark, path)
+        _made[spark.sparkContext.applicationId].remove((path, None))
+
+
 def clean_scratch(spark: SparkSession) -> int:
     """Drop all scratch tables and files made so far, and say how many there were.
 
@@ -66,11 +84,8 @@ def clean_scratch(spark: SparkSession) -> int:
     where spark.cleaner.referenceTracking.cleanCheckpoints is set.
     """
     made = _made.pop(spark.sparkContext.applicationId, [])
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    settings = spark.sparkContext._jsc.hadoopConfiguration()
     for path, name in made:
         if name is not None:
             spark.sql(f"DROP TABLE IF EXISTS `{name}`")
-        place = hadoop(path)
-        place.getFileSystem(settings).delete(place, True)
+        _delete(spark, path)
     return len(made)

@@ -6,6 +6,7 @@ external, stored there; without one it goes to the session's warehouse.
 
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
+from itertools import accumulate
 from threading import RLock
 
 from pyspark.errors import PySparkException
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from daybook.operators.conform import conform
+from daybook.scratch import scratch_folder
 from daybook.sources import check_table_name
 
 
@@ -128,8 +130,10 @@ def _session_settings(spark: SparkSession, settings: Mapping[str, str]) -> Itera
                     spark.conf.set(key, value)
 
 
-# Small pieces add up to a target more exactly; larger ones than the target are split.
-_PIECES = 512
+# Row groups of the first copy per target: the bounds of files fall between row groups.
+_GROUPS_PER_FILE = 4
+# Files of the first copy that the trial may list; it stops at the target's size.
+_TRIAL_FILES = 1000
 
 
 def write_compact(
@@ -138,28 +142,67 @@ def write_compact(
     mode: str = "overwrite",
     target_file_mb: float = 128,
     path: str | None = None,
-    shuffled_per_file_byte: float = 2.0,
 ) -> None:
     """Write files of about the target size, in one run of the plan.
 
-    Small partitions merge and large ones split, from the sizes the rebalancing
-    shuffle measured. Those are of shuffled rows; shuffled_per_file_byte says how many
-    bytes of them become one byte of a file, which depends on how well the columns
-    compress (about 2 for a table of numbers and short strings). The sizing settings hold
-    for the whole session during the write. Writers of this module take turns with
+    The plan's rows are stored once as compressed columns, so that their size in files is
+    measured and not guessed, and are written again from there without a shuffle: the
+    second scan merges small files and splits large ones between row groups, by bytes.
+    Merging makes columns compress better. A trial writes small files of one target's
+    size as one file, and the share of bytes it saves is allowed for. The sizing settings
+    hold for the whole session during the write. Writers of this module take turns with
     them; other queries of the session should wait.
     """
     _check(df, name)
-    if target_file_mb <= 0 or shuffled_per_file_byte <= 0:
-        raise ValueError("the size of files and the ratio have to be positive")
-    session = df.sparkSession.conf
-    partitions = max(_PIECES, int(session.get("spark.sql.shuffle.partitions")))
-    shuffled = round(target_file_mb * shuffled_per_file_byte * 1024 * 1024)
-    sizing = {
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffled),
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
-    }
-    with _session_settings(df.sparkSession, sizing):
-        _save(df.hint("rebalance"), name, mode, path)
+    if target_file_mb <= 0:
+        raise ValueError("the size of files has to be positive")
+    spark = df.sparkSession
+    if mode in ("ignore", "error", "errorifexists") and spark.catalog.tableExists(name):
+        # Nothing will be written: don't run the plan.
+        _save(df, name, mode, path)
+        return
+    target = target_file_mb * 1024 * 1024
+    with scratch_folder(spark) as folder:
+        groups = max(1, round(target / _GROUPS_PER_FILE))
+        try:
+            df.write.option("parquet.block.size", groups).parquet(f"{folder}/rows")
+        except PySparkException as error:
+            raise TableWriteError(f"cannot store the rows of table {name!r}: {error}") from error
+        share = _merged_share(spark, folder, target)
+        sizing = {
+            "spark.sql.files.maxPartitionBytes": str(max(1, round(target / share))),
+            "spark.sql.files.openCostInBytes": "0",
+            "spark.sql.files.minPartitionNum": "1",
+        }
+        with _session_settings(spark, sizing):
+            _save(_stored_rows(spark, df.schema, f"{folder}/rows"), name, mode, path)
+
+
+def _stored_rows(spark: SparkSession, schema: StructType, *paths: str) -> DataFrame:
+    return spark.read.schema(schema).parquet(*paths)
+
+
+def _file_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """path and length of a folder's files, from its listing alone."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder)
+    return files.select("path", "length")
+
+
+def _merged_share(spark: SparkSession, folder: str, target: float) -> float:
+    """Bytes of the stored rows after small files are merged, as a share of those before."""
+    sizes = _file_sizes(spark, f"{folder}/rows")
+    small = F.col("length") < target
+    total, in_small = sizes.agg(
+        F.sum("length"), F.sum(F.when(small, F.col("length")).otherwise(0))
+    ).first()
+    if not in_small:
+        return 1.0
+    # A hash of the path picks files from anywhere in the folder.
+    some = sizes.where(small).orderBy(F.xxhash64("path")).limit(_TRIAL_FILES).collect()
+    before = list(accumulate(row.length for row in some))
+    paths = [row.path for row, size in zip(some, before) if size <= target] or [some[0].path]
+    rows = spark.read.parquet(*paths)
+    rows.coalesce(1).write.parquet(f"{folder}/trial")
+    merged = _file_sizes(spark, f"{folder}/trial").agg(F.sum("length")).first()[0]
+    saved = 1 - merged / before[len(paths) - 1]
+    return 1 - saved * in_small / total

@@ -1,5 +1,6 @@
 """Scans and writes: validation, save modes, layout on disk."""
 
+import re
 from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
@@ -7,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from daybook.queries.inputs import table, table_name
+from daybook.scratch import ensure_checkpoint_dir
 from daybook.sinks import (
     TableWriteError,
     write_compact,
@@ -156,23 +158,14 @@ def parquet_files(path: Path):
 
 
 def test_compact_write_merges_and_splits(spark, tmp_path):
-    settings = [
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes",
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst",
-    ]
+    settings = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
     before = [spark.conf.get(key) for key in settings]
     lineitem = table(spark, "/root/testdata/sf0.1", "lineitem")
     write_compact(lineitem.repartition(50), "merged", path=str(tmp_path / "merged"))
     assert len(parquet_files(tmp_path / "merged")) == 1
     write_compact(
-        lineitem.repartition(8),
-        "split",
-        target_file_mb=1,
-        path=str(tmp_path / "split"),
-        shuffled_per_file_byte=2.0,
+        lineitem.repartition(8), "split", target_file_mb=1, path=str(tmp_path / "split")
     )
-    sizes = sorted(parquet_files(tmp_path / "split"))
-    assert 0.7 <= sizes[len(sizes) // 2] / 1024 / 1024 <= 1.2
     assert scan_table(spark, "split").count() == lineitem.count()
     assert [spark.conf.get(key) for key in settings] == before
     with pytest.raises(TableWriteError):
@@ -180,6 +173,54 @@ def test_compact_write_merges_and_splits(spark, tmp_path):
     assert [spark.conf.get(key) for key in settings] == before
 
 
+@pytest.mark.parametrize("parts", [1, 8, 200])
+@pytest.mark.parametrize("name, target", [("lineitem", 1), ("documents", 1), ("events", 0.25)])
+def test_compact_files_have_the_target_size_whatever_the_table(spark, tmp_path, name, target, parts):
+    """Numbers, long texts and short strings; from one large part, some, and many small ones."""
+    rows = table(spark, "/root/testdata/sf0.1", name).repartition(parts)
+    made = f"sized_{name}_{parts}"
+    write_compact(rows, made, target_file_mb=target, path=str(tmp_path / made))
+    sizes = sorted(parquet_files(tmp_path / made))
+    assert len(sizes) > 3
+    assert 0.75 <= sizes[len(sizes) // 2] / 1024 / 1024 / target <= 1.25
+
+    def digest(df):
+        hashes = F.xxhash64(*df.columns).cast("decimal(38,0)")
+        return df.agg(F.count("*"), F.sum(hashes)).first()
+
+    assert digest(scan_table(spark, made)) == digest(rows)
+
+
+def test_compact_write_keeps_modes_and_empty_frames(spark, tmp_path):
+    runs = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        runs.add(1)
+        return rows
+
+    write_compact(numbers(spark, 0, 0), "compact_modes", path=str(tmp_path / "modes"))
+    assert scan_table(spark, "compact_modes").columns == ["id", "v"]
+    write_compact(numbers(spark, 0, 3), "compact_modes", mode="append")
+    write_compact(numbers(spark, 3, 5), "compact_modes", mode="append")
+    assert ids(scan_table(spark, "compact_modes")) == [0, 1, 2, 3, 4]
+    costly = spark.createDataFrame(numbers(spark, 9, 12).rdd.mapPartitions(counted), "id long, v long")
+    write_compact(costly, "compact_modes", mode="ignore")
+    assert ids(scan_table(spark, "compact_modes")) == [0, 1, 2, 3, 4]
+    assert runs.value == 0
+    write_compact(scan_table(spark, "compact_modes").where("id > 2"), "compact_copy", path=str(tmp_path / "copy"))
+    assert ids(scan_table(spark, "compact_copy")) == [3, 4]
+
+
+def test_compact_write_leaves_no_scratch_files(spark, tmp_path):
+    folder = Path(re.sub("^file:", "", ensure_checkpoint_dir(spark)))
+    before = set(folder.iterdir())
+    write_compact(numbers(spark, 0, 9), "compact_clean", path=str(tmp_path / "clean"))
+    missing = spark.range(1).select(F.raise_error(F.lit("broken")).alias("id"))
+    with pytest.raises(TableWriteError, match="broken"):
+        write_compact(missing, "compact_broken", path=str(tmp_path / "broken"))
+    assert set(folder.iterdir()) == before
+
+
 def test_compact_writes_in_two_threads_keep_their_own_targets(spark, tmp_path):
     lineitem = table(spark, "/root/testdata/sf0.1", "lineitem").repartition(8)
     lineitem.cache().count()
