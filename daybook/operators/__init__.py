@@ -10,6 +10,7 @@ from daybook.operators.filters import (
 from daybook.operators.joins import (
     attach_rollup,
     enrich_left,
+    enrich_left_spread,
     lookup_groups,
     usable_lookup,
 )
@@ -27,6 +28,7 @@ __all__ = [
     "conform",
     "daily_activity",
     "enrich_left",
+    "enrich_left_spread",
     "event_rollup",
     "exclude_flagged",
     "filter_between",

@@ -201,6 +201,13 @@ FROM lookup_user LEFT JOIN (
   FROM purchases GROUP BY user_id) AS totals USING (user_id)"""),
     "join_enrich_events": _over_enriched("SELECT * FROM enriched_events"),
     "join_enrich_purchases": _over_enriched("SELECT * FROM enriched_purchases"),
+    "join_enrich_hot_key": _over_enriched(
+        f"""SELECT bought.*, {_DEFAULTED}
+FROM (
+  SELECT * REPLACE (CASE WHEN payment_method = 'credit' THEN '22' ELSE user_id END AS user_id)
+  FROM purchases) AS bought
+LEFT JOIN active ON bought.user_id = active_user"""
+    ),
     "join_event_purchase_rollups": _over_rollups(_SUMMARY),
     "join_inner_daily_activity": _over_inputs("""
 SELECT user_id, partition_date, count(*) AS event_count,

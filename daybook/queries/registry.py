@@ -9,6 +9,7 @@ from daybook.operators import (
     attach_rollup,
     conform,
     daily_activity,
+    enrich_left_spread,
     exclude_flagged,
     filter_between,
     keep_positive,
@@ -241,6 +242,16 @@ def join_enrich_purchases(spark, sf_dir):
     )
 
 
+@_query
+def join_enrich_hot_key(spark, sf_dir):
+    """A third of the purchases share a user, who has two profiles."""
+    hot = F.expr("if(payment_method = 'credit', '22', user_id)")
+    bought = purchases(spark, sf_dir).withColumn("user_id", hot)
+    return enrich_left_spread(
+        bought, lookup_user(spark, sf_dir), "user_id", PROFILE_DEFAULTS, "is_active"
+    )
+
+
 @_query
 def join_event_purchase_rollups(spark, sf_dir):
     profiles = lookup_user(spark, sf_dir)

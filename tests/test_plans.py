@@ -7,7 +7,7 @@ from functools import partial
 import pytest
 from pyspark.sql import functions as F
 
-from daybook.operators import event_rollup, purchase_rollup
+from daybook.operators import enrich_left, enrich_left_spread, event_rollup, purchase_rollup
 from daybook.plans.user_activity import (
     enrich_events,
     enrich_purchases,
@@ -152,3 +152,33 @@ def test_a_hot_user_is_split_when_joined(spark, stored, source, roll_up):
         result = rollup(enriched) if roll_up else enriched
         result.collect()
         assert "SortMergeJoin(skew=true)" in plan(result)
+
+
+def test_a_hot_key_is_spread_without_adaptive_execution(spark, tmp_path):
+    """Two thirds of the rows, copies too, share a key with several lookup rows."""
+    facts = spark.range(0, 60_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(1).alias("k"), F.lit(5).alias("same")
+    )
+    lookup = spark.range(0, 2_000).select((F.col("id") % 1000).alias("k"), F.lit("x").alias("v"))
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    with ExitStack() as stack:
+        for key, value in settings.items():
+            stack.enter_context(setting(spark, key, value))
+
+        def result(enrich):
+            joined = enrich(facts, lookup, "k", {"v": "?"})
+            text = plan(joined)
+            sizes = joined.groupBy(F.spark_partition_id().alias("task")).count().collect()
+            return text, sorted(row["count"] for row in sizes), joined.groupBy("k", "v").count()
+
+        _, plain, expected = result(enrich_left)
+        text, spread, actual = result(enrich_left_spread)
+        assert sorted(actual.collect()) == sorted(expected.collect())
+    assert "SortMergeJoin" in text and "BroadcastNestedLoop" not in text
+    assert sum(spread) == sum(plain)
+    assert max(plain) > sum(plain) / 2
+    assert max(spread) < sum(spread) / 4
