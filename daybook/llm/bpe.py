@@ -280,7 +280,7 @@ class BpeCodec:
 def encode_and_decode(
     docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """Per row: doc_id, ids, decoded.
+    """Per row: doc_id, ids, ids_bytes (the same as little-endian 32-bit integers), decoded.
 
     Whole texts are encoded; null counts as empty. Repeated rows are encoded each.
     Other columns are ignored; an empty table gives an empty result. Both directions run in
@@ -292,6 +292,7 @@ def encode_and_decode(
         [
             T.StructField("doc_id", rows.schema["doc_id"].dataType),
             T.StructField("ids", T.ArrayType(T.IntegerType())),
+            T.StructField("ids_bytes", T.BinaryType()),
             T.StructField("decoded", T.StringType()),
         ]
     )
@@ -303,8 +304,14 @@ def encode_and_decode(
                 part = batch.slice(start, _ROWS)
                 ids = [codec.encode(value or "") for value in part["text"].to_pylist()]
                 texts = [codec.decode(some.tolist()) for some in ids]
-                columns = [part["doc_id"], pa.array(ids, pa.list_(pa.int32())), pa.array(texts)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"])
+                packed = [some.astype("<u4").tobytes() for some in ids]
+                columns = [
+                    part["doc_id"],
+                    pa.array(ids, pa.list_(pa.int32())),
+                    pa.array(packed, pa.binary()),
+                    pa.array(texts, pa.string()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
         # Workers stay for later stages, which need their memory.
         codec.forget()
 

@@ -1,11 +1,9 @@
 """One query per operator, over whole tables, and the same in SQL where SQL can say it."""
 
-import hashlib
 from collections.abc import Callable
 
-import pandas as pd
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from daybook.llm import chat, pii
 from daybook.llm.bpe import encode_and_decode
@@ -64,16 +62,10 @@ def op5_simhash(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-@F.pandas_udf(T.StringType())  # a name of a type would need a session
-def _ids_sha256(lists: pd.Series) -> pd.Series:
-    """Digest of ids as little-endian unsigned 32-bit integers."""
-    return pd.Series([hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest() for ids in lists])
-
-
 def token_digests() -> list[Column]:
     return [
         F.size("ids").cast("long").alias("n_tokens"),
-        _ids_sha256("ids").alias("ids_sha256"),
+        F.sha2("ids_bytes", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     ]
 
